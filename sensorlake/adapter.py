@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sensorlake import schemas
 from sensorlake.functions import columns as fn
 from sensorlake.operators.upsert import ntz_literal
+from sensorlake.sources.json_lines import accepted
 from sensorlake.sources.ndjson import JSON_OPTIONS
 
 # The incremental fixture.
@@ -100,8 +101,5 @@ def json_lines(typed: DataFrame) -> DataFrame:
 
 def as_bronze(lines: DataFrame) -> DataFrame:
     """Parsed lines with the bronze columns that silver reads; rejects left out."""
-    return (
-        lines.select(F.try_parse_json("line").alias("raw_data"), "load_timestamp")
-        .where(F.col("raw_data").isNotNull())
-        .withColumn("reading_date", fn.reading_date("raw_data"))
-    )
+    records = accepted(lines.select("line", "load_timestamp"))
+    return records.withColumn("reading_date", fn.reading_date("raw_data"))

@@ -212,12 +212,15 @@ def new_files(
     A file is known by path, modification time and length, so a file rewritten in
     place counts as new.
     """
-    listing = files.list_files(spark, root, glob)
+    identity = ["path", "length", "modified_micros"]
+    claimed = _read(spark, store.claimed, CLAIMED).select(*identity)
+    paths = json_lines.window_paths(spark, root, start, end)
+    if not paths:
+        return claimed.limit(0)
+    listing = files.list_files(spark, root, glob, paths)
     if start is not None or end is not None:
         listing = json_lines.in_window(listing, start, end)
-    identity = ["path", "length", "modified_micros"]
-    claimed = _read(spark, store.claimed, CLAIMED)
-    return listing.select(*identity).join(claimed.select(*identity), identity, "left_anti")
+    return listing.select(*identity).join(claimed, identity, "left_anti")
 
 
 def load_new_files(
@@ -244,6 +247,22 @@ def load_new_files(
     return total + _land_claimed(spark, root, store, label, row_numbers, now, glob)
 
 
+def load_day(spark: SparkSession, root: str, store: BronzeStore, day: dt.date) -> int:
+    """Loads the new files of one day."""
+    return load_new_files(spark, root, store, day, day + dt.timedelta(days=1))
+
+
+def load_last_days(
+    spark: SparkSession,
+    root: str,
+    store: BronzeStore,
+    days_back: int = 30,
+    today: dt.date | None = None,
+) -> int:
+    """Loads the new files of the days before today, in one load."""
+    return load_new_files(spark, root, store, *json_lines.last_days(days_back, today))
+
+
 def _claims(spark: SparkSession, store: BronzeStore) -> int:
     return _read(spark, store.claimed, CLAIMED).select("load_batch").distinct().count()
 

@@ -53,18 +53,20 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def list_files(spark: SparkSession, prefix: str, glob: str = "*.json") -> DataFrame:
+def list_files(
+    spark: SparkSession, prefix: str, glob: str = "*.json", paths: list[str] | None = None
+) -> DataFrame:
     """Files below a prefix with length and modification time; no content is read.
 
-    Hive-style directories below the prefix come back as columns.
+    ``paths`` limits the listing to some directories below the prefix. Hive-style
+    directories below the prefix come back as columns.
     """
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(prefix)
-    )
-    partitions = [c for c in listing.columns if c not in ("path", "modificationTime", "length", "content")]
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    listing = reader.option("basePath", prefix).load(paths or prefix)
+    fixed = ("path", "modificationTime", "length", "content")
     return listing.select(
         "path",
         "length",
         F.unix_micros("modificationTime").alias("modified_micros"),
-        *partitions,
+        *[c for c in listing.columns if c not in fixed],
     )

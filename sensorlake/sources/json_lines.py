@@ -7,7 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake.sources import files
+
 JSON_GLOB = "*.json"
+# Longer windows are read from the root and pruned by partition.
+MAX_LISTED_DAYS = 400
 
 
 def path_day() -> Column:
@@ -30,6 +34,21 @@ def last_days(days_back: int, today: dt.date | None = None) -> tuple[dt.date, dt
     return end - dt.timedelta(days=days_back), end
 
 
+def window_paths(
+    spark: SparkSession, root: str, start: dt.date | None, end: dt.date | None
+) -> list[str]:
+    """Directories to list for a window.
+
+    For a bounded window these are its existing days, so a daily load does not
+    list years of history. Otherwise, or for a very long window, the root.
+    """
+    if start is None or end is None or (end - start).days > MAX_LISTED_DAYS:
+        return [root]
+    days = [start + dt.timedelta(days=n) for n in range((end - start).days)]
+    paths = [f"{root.rstrip('/')}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+    return [path for path in paths if files.exists(spark, path)]
+
+
 def with_provenance(lines: DataFrame) -> DataFrame:
     """Line text with the file and the split it was read from."""
     return lines.select(
@@ -47,12 +66,28 @@ def scan(
     paths: list[str] | None = None,
     glob: str = JSON_GLOB,
 ) -> DataFrame:
-    """Lines of all JSON files below ``root``, or of the given files only."""
+    """Lines of the JSON files below ``root`` in ``[start, end)``, or of given files."""
+    if paths is None:
+        paths = window_paths(spark, root, start, end)
+    if not paths:
+        nothing = "cast(null as string) line, cast(null as string) source_file_name, 0L split_start"
+        return spark.range(0).selectExpr(*nothing.split(", "))
     reader = spark.read.option("pathGlobFilter", glob).option("basePath", root)
-    lines = reader.text(paths if paths is not None else root)
-    return with_provenance(in_window(lines, start, end))
+    return with_provenance(in_window(reader.text(paths), start, end))
 
 
 def parse(lines: DataFrame) -> DataFrame:
     """Adds the record as a variant; null marks a line that is not JSON."""
     return lines.withColumn("raw_data", F.try_parse_json("line"))
+
+
+def accepted(lines: DataFrame) -> DataFrame:
+    """Only the lines that parse, as ``raw_data`` in place of ``line``.
+
+    Explodes a list of no or one record. A filter on the parsed column would do
+    the same, but the optimizer copies the parse into such a filter, and every
+    line is then parsed twice.
+    """
+    rest = [c for c in lines.columns if c != "line"]
+    record = F.array_compact(F.array(F.try_parse_json("line")))
+    return lines.select(F.explode(record).alias("raw_data"), *rest)
