@@ -153,12 +153,16 @@ def merge_into(
 
     Only dates that the batch, or a row it replaces, belongs to are rewritten.
     A missing or empty table is created from the whole batch as it is, repeated
-    keys included (the uniqueness assertion reports those). Later batches with a
-    repeated key raise, or keep the newest row with ``on_duplicate="latest"``.
+    keys included (the uniqueness assertion reports those). What a later batch
+    with a repeated key does is chosen by ``on_duplicate``: "fail" raises,
+    "latest" keeps its newest row, and "fail_matched" raises only if the key is
+    stored already and otherwise adds all its rows, as a merge statement does.
 
     One writer at a time. A run that died is finished by the next call, and
     merging a batch again changes nothing.
     """
+    if on_duplicate not in ("fail", "latest", "fail_matched"):
+        raise ValueError(f"on_duplicate is {on_duplicate!r}, not fail, latest or fail_matched")
     recover(spark, path)
     if not table_exists(spark, path) or read_stored(spark, path).isEmpty():
         create_table(spark, path, batch, partition)
@@ -167,13 +171,17 @@ def merge_into(
     # The batch is used several times below, so it is stored once.
     work = scratch(spark, "merge")
     batch = _store(spark, batch, f"{work}/batch")
+    target = read_stored(spark, path)
     if on_duplicate == "latest":
         batch = _store(spark, latest_per_key(batch, key), f"{work}/latest")
-    elif not duplicate_keys(batch, key).isEmpty():
-        files.delete(spark, work)
-        raise DuplicateKeyError(f"{key} occurs more than once in the batch")
+    else:
+        refused = duplicate_keys(batch, key)
+        if on_duplicate == "fail_matched":
+            refused = refused.join(target.select(key), key, "left_semi")
+        if not refused.isEmpty():
+            files.delete(spark, work)
+            raise DuplicateKeyError(f"{key} occurs more than once in the batch")
 
-    target = read_stored(spark, path)
     dropped = _dropped_columns(spark, path)
     keys = batch.select(key).where(F.col(key).isNotNull())
     small = batch.count() <= BROADCAST_KEYS

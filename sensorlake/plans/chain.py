@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from sensorlake.operators.assertions import require_pass
 from sensorlake.plans import bronze, gold, silver
 from sensorlake.plans.bronze import BronzeStore
+from sensorlake.session import sized_shuffles
+from sensorlake.sources import files
 from sensorlake.sources.tables import write_full
 
 
@@ -38,8 +40,9 @@ def build_gold(spark: SparkSession, lake: Lake) -> None:
     and silver is not computed again.
     """
     readings = silver.read(spark, lake.silver)
-    for name, model in gold.MODELS.items():
-        write_full(model(readings), lake.gold(name))
+    write_full(gold.energy_summary(readings), lake.gold("gold_building_energy_summary"))
+    write_full(gold.equipment_health(readings), lake.gold("gold_equipment_health"))
+    gold.write_alerts(readings, lake.gold("gold_anomaly_alerts"))
 
 
 def run(
@@ -53,12 +56,14 @@ def run(
 ) -> int:
     """Loads new files of the window and brings all tables up to date.
 
-    Returns the rows loaded. Every step can be repeated after a failure: files
-    are loaded once, merging again changes nothing, gold is replaced.
+    Returns the rows loaded; raises at the end if an assertion has failing rows.
+    Every step can be repeated after a failure: files are loaded once, merging
+    again changes nothing, gold is replaced.
     """
     loaded = bronze.load_new_files(spark, landing, lake.bronze, start, end)
-    silver.refresh(spark, lake.bronze, buildings, lake.silver)
-    build_gold(spark, lake)
-    if check:
-        require_pass(silver.read(spark, lake.silver))
+    with sized_shuffles(spark, files.stored_bytes(spark, lake.bronze.readings)):
+        silver.refresh(spark, lake.bronze, buildings, lake.silver)
+        build_gold(spark, lake)
+        if check:
+            require_pass(silver.read(spark, lake.silver))
     return loaded

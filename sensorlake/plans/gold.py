@@ -65,6 +65,21 @@ def anomaly_alerts(silver: DataFrame, ordered: bool = True) -> DataFrame:
     )
 
 
+def write_alerts(silver: DataFrame, path: str) -> None:
+    """Stores the alerts by date, newest first within each file.
+
+    Stored silver lies by date already, so this needs no shuffle; a reader that
+    wants a global order sorts the dates it reads.
+    """
+    (
+        anomaly_alerts(silver, ordered=False)
+        .sortWithinPartitions("reading_date", F.desc_nulls_first("reading_timestamp"))
+        .write.mode("overwrite")
+        .partitionBy("reading_date")
+        .parquet(path)
+    )
+
+
 MODELS = {
     "gold_building_energy_summary": energy_summary,
     "gold_equipment_health": equipment_health,

@@ -350,7 +350,7 @@ def _chained(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
     root = _landing(spark, typed)
     # The unknown building makes an assertion fail on purpose, so none is required.
     chain.run(spark, root, lake, schemas.buildings(spark), check=False)
-    return tables.Sources(spark, {model: lake.gold(model)}).table(model)
+    return tables.Sources(spark, {name: lake.gold(name) for name in gold.MODELS}).table(model)
 
 
 def chain_energy_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

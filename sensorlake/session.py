@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,11 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Compressed table bytes per shuffle partition, and the most partitions to ask for.
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -60,3 +67,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/sensorlake/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, table_bytes: int) -> Iterator[None]:
+    """Within this context shuffles start with partitions enough for such a table.
+
+    The adaptive plan merges those that stay small, so starting high costs
+    little, while too few would each have to spill. A setting of the session's
+    own is left alone.
+    """
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(table_bytes // BYTES_PER_PARTITION, MAX_SHUFFLE_PARTITIONS)
+    if wanted <= usual or spark.conf.get(_INITIAL_PARTITIONS, None) is not None:
+        yield
+        return
+    spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_INITIAL_PARTITIONS)

@@ -27,6 +27,11 @@ def has_parquet(spark: SparkSession, path: str) -> bool:
     )
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    fs, target = _locate(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _locate(spark, path)
     fs.delete(target, True)
