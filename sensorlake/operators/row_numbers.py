@@ -2,26 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # One row per file split, about 150 bytes each.
 BROADCAST_SPLITS = 200_000
 
+_SPLIT = ["source_file_name", "split_start"]
+_MIN_PARTITIONS = "spark.sql.files.minPartitionNum"
+
+
+@contextmanager
+def fixed_splits(spark: SparkSession) -> Iterator[None]:
+    """Within this context, files are cut into splits the same way each time.
+
+    Otherwise the cut follows the number of cores, which changes when executors
+    come and go.
+    """
+    if spark.conf.get(_MIN_PARTITIONS, None) is not None:
+        yield
+        return
+    spark.conf.set(_MIN_PARTITIONS, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_MIN_PARTITIONS)
+
 
 def with_scan_order(lines: DataFrame) -> DataFrame:
     """Marks the order within each scan task. Apply directly on the scan."""
     return lines.withColumn("scan_seq", F.monotonically_increasing_id())
 
 
-def split_offsets(staged: DataFrame) -> DataFrame:
-    """What to add to ``scan_seq`` in each split to get the line number.
+def split_offsets(ordered: DataFrame) -> DataFrame:
+    """Per split: what to add to ``scan_seq``, and the line numbers it covers.
 
     A split is read by one task from start to end, so inside it the sequence is
     dense. The lines before a split are the running total over the file's earlier
     splits: the window sees one row per split, never the lines themselves.
     """
-    splits = staged.groupBy("source_file_name", "split_start").agg(
+    splits = ordered.groupBy(*_SPLIT).agg(
         F.min("scan_seq").alias("first_seq"), F.count(F.lit(1)).alias("lines")
     )
     earlier = (
@@ -31,27 +54,36 @@ def split_offsets(staged: DataFrame) -> DataFrame:
     )
     before = F.coalesce(F.sum("lines").over(earlier), F.lit(0))
     return splits.select(
-        "source_file_name",
-        "split_start",
+        *_SPLIT,
         (before + 1 - F.col("first_seq")).alias("shift"),
+        (before + 1).alias("first_line"),
+        (before + F.col("lines")).alias("last_line"),
     )
 
 
-def number_rows(spark: SparkSession, staged: DataFrame, work: str) -> DataFrame:
-    """Adds ``source_file_row_num`` (from 1) to lines stored with their scan order.
+def number_rows(spark: SparkSession, ordered: DataFrame, work: str) -> DataFrame:
+    """Adds ``source_file_row_num`` (from 1) to scanned lines.
 
-    ``staged`` must be a stored table: a second scan of the text could be cut into
-    other splits. The offsets are stored too, so their size is known before the
-    join; beyond the limit the join shuffles on (file, split), whose groups are no
-    larger than one split.
+    The scan runs twice: once only to count lines per split, then with whatever
+    is built on the result. Run both within ``fixed_splits``. A line whose number
+    falls outside the range counted for its split fails the query, so a second
+    scan cut in another way cannot give wrong numbers.
+
+    The counts are stored, so their size is known before the join; beyond the
+    limit the join shuffles on (file, split), and no such group is larger than
+    one split.
     """
     path = f"{work}/splits"
-    split_offsets(staged).write.parquet(path)
+    split_offsets(ordered).write.parquet(path)
     offsets = spark.read.parquet(path)
     if offsets.count() <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
+    number = F.col("scan_seq") + F.col("shift")
+    checked = F.when(number.between(F.col("first_line"), F.col("last_line")), number).otherwise(
+        F.raise_error(F.lit("the files were not split as when they were counted")).cast("bigint")
+    )
     return (
-        staged.join(offsets, ["source_file_name", "split_start"])
-        .withColumn("source_file_row_num", F.col("scan_seq") + F.col("shift"))
-        .drop("shift")
+        ordered.join(offsets, _SPLIT, "left")
+        .withColumn("source_file_row_num", checked)
+        .drop("scan_seq", "shift", "first_line", "last_line")
     )

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlake import schemas
 from sensorlake.functions import columns as fn
-from sensorlake.operators.row_numbers import number_rows, with_scan_order
+from sensorlake.operators.row_numbers import fixed_splits, number_rows, with_scan_order
 from sensorlake.operators.upsert import ntz_literal, sync_columns
 from sensorlake.session import scratch
 from sensorlake.sources import files, json_lines
@@ -24,18 +24,25 @@ CLAIMED = schemas.struct("path string, length bigint, modified_micros bigint, lo
 class BronzeStore:
     """Where the bronze tables live. Each is partitioned by the load batch.
 
+    Records and rejected lines are two branches of one directory, so that one
+    write can fill both.
+
     One loader at a time writes to a store: either the file loader or a stream.
     """
 
     root: str
 
     @property
-    def readings(self) -> str:
+    def lines(self) -> str:
         return f"{self.root}/raw_sensor_readings"
 
+    @property
+    def readings(self) -> str:
+        return f"{self.lines}/accepted=true"
+
     @property
     def quarantine(self) -> str:
-        return f"{self.root}/rejected_lines"
+        return f"{self.lines}/accepted=false"
 
     @property
     def file_log(self) -> str:
@@ -144,61 +151,65 @@ def land(
 ) -> int:
     """Loads scanned lines as the batch ``label`` and returns the rows loaded.
 
-    The text is read and parsed once, into a stored table that feeds the row
-    numbers, bronze, the rejected lines and the report. Bronze rows are not
-    shuffled: a scan task holds lines of one or a few days, so writing by date
-    from there already gives few files. Landing a label again replaces it.
+    One pass parses the lines and writes records and rejected lines side by side;
+    row numbers cost one more scan that only counts. Nothing is shuffled: a scan
+    task holds lines of one or a few days, so writing by date from there already
+    gives few files. Landing a label again replaces it.
     """
     moment = _open_load(spark, store, label, now)
     work = scratch(spark, "land")
-    parsed = json_lines.parse(with_scan_order(lines))
-    (
-        parsed.withColumn("line", F.when(F.col("raw_data").isNull(), F.col("line")))
-        .write.parquet(f"{work}/lines")
-    )
-    staged = spark.read.schema(parsed.schema).parquet(f"{work}/lines")
-    numbered = (
-        number_rows(spark, staged, work)
-        if row_numbers
-        else staged.withColumn("source_file_row_num", F.lit(None).cast("bigint"))
-    )
-    stamp: dict[str, Column] = {
-        "load_timestamp": ntz_literal(moment),
-        "load_batch": F.lit(label),
-    }
-    accepted = F.col("line").isNull()
-
-    readings = numbered.where(accepted).withColumns(
-        {**stamp, "load_id": F.expr("uuid()"), "reading_date": fn.reading_date("raw_data")}
-    )
-    _replace_batch(
-        readings.select(*schemas.BRONZE.names), store.readings, "reading_date", "load_batch"
-    )
-    rejected = numbered.where(~accepted).withColumns(stamp)
-    _replace_batch(
-        rejected.select(*schemas.QUARANTINE.names), store.quarantine, "load_batch"
-    )
-    report = (
-        staged.groupBy("source_file_name")
-        .agg(
-            fn.count_where(accepted).alias("rows_loaded"),
-            fn.count_where(~accepted).alias("rows_rejected"),
+    with fixed_splits(spark):
+        if row_numbers:
+            numbered = number_rows(spark, with_scan_order(lines), work)
+        else:
+            numbered = lines.withColumn("source_file_row_num", F.lit(None).cast("bigint"))
+        parsed = json_lines.parse(numbered)
+        accepted = F.col("raw_data").isNotNull()
+        _replace_batch(
+            parsed.select(
+                F.expr("uuid()").alias("load_id"),
+                ntz_literal(moment).alias("load_timestamp"),
+                "source_file_name",
+                "source_file_row_num",
+                "raw_data",
+                F.when(~accepted, F.col("line")).alias("line"),
+                accepted.alias("accepted"),
+                fn.reading_date("raw_data").alias("reading_date"),
+                F.lit(label).alias("load_batch"),
+            ),
+            store.lines,
+            "accepted",
+            "reading_date",
+            "load_batch",
         )
-        .withColumns(stamp)
-    )
-    _replace_batch(report.select(*schemas.FILE_LOG.names), store.file_log, "load_batch")
-
-    loaded = (
-        read_file_log(spark, store)
-        .where(F.col("load_batch") == label)
-        .agg(F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("n"))
-        .first()["n"]
-    )
+    loaded = _report(spark, store, label, moment)
     _note_load(spark, store, label, moment, rows_loaded=loaded)
     files.delete(spark, work)
     return loaded
 
 
+def _report(spark: SparkSession, store: BronzeStore, label: str, moment: dt.datetime) -> int:
+    """Writes the lines loaded and rejected per file of a load; returns the former."""
+
+    def names(frame: DataFrame, accepted: bool) -> DataFrame:
+        mine = frame.where(F.col("load_batch") == label)
+        return mine.select("source_file_name", F.lit(accepted).alias("accepted"))
+
+    seen = names(read_bronze(spark, store), True).unionByName(
+        names(read_quarantine(spark, store), False)
+    )
+    report = seen.groupBy("source_file_name").agg(
+        fn.count_where(F.col("accepted")).alias("rows_loaded"),
+        fn.count_where(~F.col("accepted")).alias("rows_rejected"),
+    )
+    stamped = report.withColumns(
+        {"load_timestamp": ntz_literal(moment), "load_batch": F.lit(label)}
+    )
+    _replace_batch(stamped.select(*schemas.FILE_LOG.names), store.file_log, "load_batch")
+    mine = read_file_log(spark, store).where(F.col("load_batch") == label)
+    return mine.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("n")).first()["n"]
+
+
 def new_files(
     spark: SparkSession,
     root: str,

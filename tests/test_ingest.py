@@ -250,3 +250,18 @@ def test_chain_passes_on_clean_data(spark, tmp_path):
     put(root, 1, "sensors_000.json", [line(n) for n in range(20)])
     lake = chain.Lake(f"{tmp_path}/lake")
     assert chain.run(spark, root, lake, schemas.buildings(spark), DAYS[1], DAYS[2]) == 20
+
+
+def test_other_splits_than_counted_fail(spark, tmp_path):
+    root = f"{tmp_path}/raw/sensors"
+    put(root, 1, "sensors_000.json", [line(n) for n in range(2000)])
+    numbered = row_numbers.number_rows(
+        spark, row_numbers.with_scan_order(json_lines.scan(spark, root)), f"{tmp_path}/work"
+    )
+    assert numbered.count() == 2000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        with pytest.raises(Exception, match="not split as when they were counted"):
+            numbered.write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
