@@ -73,9 +73,8 @@ def is_early() -> Column:
 
 
 def corrections(typed: DataFrame) -> DataFrame:
-    """Later versions of every tenth early reading, with another humidity."""
-    number = F.substring("reading_id", 2, 20).cast("bigint")
-    return typed.where(is_early() & (number % 10 == 0)).withColumns(
+    """Later versions of the early readings of failing units, with another humidity."""
+    return typed.where(is_early() & (F.col("compressor_status") == "ERROR")).withColumns(
         {
             "humidity_pct": F.col("humidity_pct") + 1,
             "load_timestamp": ntz_literal(CORRECTED_AT),

@@ -58,7 +58,7 @@ class BronzeStore:
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if not files.has_parquet(spark, path):
+    if not files.has_files(spark, path):
         return sync_columns(spark.range(0), schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 

@@ -71,7 +71,7 @@ second as (
     union all
     select * replace (humidity_pct + 1 as humidity_pct,
                       timestamp '2024-02-01' as load_timestamp)
-    from early where cast(substr(reading_id, 2) as bigint) % 10 = 0
+    from early where compressor_status = 'ERROR'
 ),
 merged as (
     select * from second

@@ -16,8 +16,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def has_parquet(spark: SparkSession, path: str) -> bool:
-    """Whether a finished or partitioned parquet table lies at ``path``."""
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a directory holds anything readers would see."""
     fs, target = _locate(spark, path)
     if not fs.exists(target):
         return False

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.sources import files
+from sensorlake.sources import files, ndjson
 
 JSON_GLOB = "*.json"
 # Longer windows are read from the root and pruned by partition.
@@ -45,7 +45,7 @@ def window_paths(
     if start is None or end is None or (end - start).days > MAX_LISTED_DAYS:
         return [root]
     days = [start + dt.timedelta(days=n) for n in range((end - start).days)]
-    paths = [f"{root.rstrip('/')}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+    paths = [ndjson.day_path(root, d) for d in days]
     return [path for path in paths if files.exists(spark, path)]
 
 

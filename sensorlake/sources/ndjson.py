@@ -8,9 +8,11 @@ import json
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.sources import files, json_lines
+from sensorlake import schemas
+from sensorlake.sources import files
 
 MANIFEST_VERSION = "1.0.0"
+MANIFEST = schemas.struct("record_count bigint, generated_at string, version string, date date")
 _WRITING_NOTE = "_writing.json"
 
 JSON_OPTIONS = {
@@ -30,14 +32,8 @@ def day_columns(day: Column) -> dict[str, Column]:
     }
 
 
-def existing_days(spark: SparkSession, root: str) -> list[dt.date]:
-    """Days that already have a file below ``root``: one entry per calendar day."""
-    if not files.has_parquet(spark, root):
-        return []
-    listing = files.list_files(spark, root)
-    if "year" not in listing.columns:
-        return []
-    return [r["d"] for r in listing.select(json_lines.path_day().alias("d")).distinct().collect()]
+def day_path(root: str, day: dt.date) -> str:
+    return f"{root.rstrip('/')}/year={day:%Y}/month={day:%m}/day={day:%d}"
 
 
 def write_days(
@@ -52,6 +48,7 @@ def write_days(
     it died do not count as present and are written again. The manifest has one
     row per written day: date, record count, time and version.
 
+    Only the days of these records are looked up, not all days below the root.
     Rows are rebalanced by day, so a day makes few files, and a day holding much
     of the data is split over several tasks and files.
     """
@@ -60,20 +57,23 @@ def write_days(
     dated = records.withColumn(
         "_day", F.coalesce(day, F.raise_error("a record has no day").cast("date"))
     )
-    note = f"{root}/{_WRITING_NOTE}"
-    torn = files.read_note(spark, note)
-    present = (
-        existing_days(spark, root)
-        if torn is None
-        else [dt.date.fromisoformat(d) for d in json.loads(torn)]
-    )
-    if present and skip_existing:
-        dated = dated.where(~F.col("_day").isin(present))
+    counts = dated.groupBy(F.col("_day").alias("date")).agg(F.count(F.lit(1)).alias("n")).collect()
 
-    # Until this note is gone, only the days it lists are complete.
-    files.write_note(spark, note, json.dumps([str(d) for d in present]))
+    note = f"{root}/{_WRITING_NOTE}"
+    torn = _days_in(files.read_note(spark, note))
+    present = [
+        r["date"]
+        for r in counts
+        if skip_existing
+        and r["date"] not in torn
+        and files.has_files(spark, day_path(root, r["date"]))
+    ]
+    writing = {r["date"]: r["n"] for r in counts if r["date"] not in present}
+    # Days listed in the note are incomplete.
+    _note_days(spark, note, torn | writing.keys())
+    fresh = dated.where(~F.col("_day").isin(present)) if present else dated
     _replace_days(
-        dated.withColumns(day_columns(F.col("_day")))
+        fresh.withColumns(day_columns(F.col("_day")))
         .drop("_day")
         .hint("rebalance", "year", "month", "day"),
         "year", "month", "day",
@@ -81,17 +81,22 @@ def write_days(
 
     manifest = f"{root.rstrip('/')}_manifest"
     written_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-    counts = dated.groupBy(F.col("_day").alias("date")).agg(
-        F.count(F.lit(1)).alias("record_count")
-    )
-    _replace_days(
-        counts.withColumns(
-            {"generated_at": F.lit(written_at), "version": F.lit(MANIFEST_VERSION)}
-        ),
-        "date",
-    ).parquet(manifest)
-    files.delete(spark, note)
-    return _manifest(spark, manifest)
+    rows = [(n, written_at, MANIFEST_VERSION, d) for d, n in sorted(writing.items())]
+    _replace_days(spark.createDataFrame(rows, MANIFEST), "date").parquet(manifest)
+    _note_days(spark, note, torn - writing.keys())
+    stored = spark.read.schema(MANIFEST).parquet(manifest)
+    return stored.select("date", "record_count", "generated_at", "version")
+
+
+def _days_in(note: str | None) -> set[dt.date]:
+    return {dt.date.fromisoformat(d) for d in json.loads(note)} if note else set()
+
+
+def _note_days(spark: SparkSession, note: str, days: set[dt.date]) -> None:
+    if days:
+        files.write_note(spark, note, json.dumps(sorted(str(d) for d in days)))
+    elif files.exists(spark, note):
+        files.delete(spark, note)
 
 
 def _replace_days(rows: DataFrame, *partitions: str) -> DataFrameWriter:
@@ -100,11 +105,3 @@ def _replace_days(rows: DataFrame, *partitions: str) -> DataFrameWriter:
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
     )
-
-
-def _manifest(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema("record_count bigint, generated_at string, version string, date date")
-        .parquet(path)
-        .select("date", "record_count", "generated_at", "version")
-    )

@@ -204,6 +204,7 @@ def test_write_days_leaves_existing_days(spark, tmp_path):
     ]
     assert os.path.isdir(f"{root}/year=2026/month=01/day=12")
     assert {(str(r["date"]), r["record_count"]) for r in manifest.collect()} == {("2026-01-01", 1), ("2026-01-12", 1)}
+    assert not os.path.exists(f"{root}/_writing.json")
     listed = files.list_files(spark, root)
     assert listed.count() == 2 and listed.columns == ["path", "length", "modified_micros", "year", "month", "day"]
 
@@ -211,17 +212,29 @@ def test_write_days_leaves_existing_days(spark, tmp_path):
 def test_write_days_repeats_days_left_incomplete(spark, tmp_path, monkeypatch):
     root = f"{tmp_path}/out"
     rows = spark.sql("select 'a' reading_id, timestamp_ntz'2026-01-01 08:00:00' timestamp")
-    more = rows.unionByName(spark.sql("select 'b' reading_id, timestamp_ntz'2026-01-02 08:00:00' timestamp"))
+    second = spark.sql("select 'b' reading_id, timestamp_ntz'2026-01-02 08:00:00' timestamp")
+    third = spark.sql("select 'c' reading_id, timestamp_ntz'2026-01-03 08:00:00' timestamp")
     ndjson.write_days(rows, root)
+    real = ndjson._replace_days
+
+    def dies_at_manifest(frame, *partitions):
+        if partitions == ("date",):
+            raise RuntimeError("driver lost")
+        return real(frame, *partitions)
+
     with monkeypatch.context() as patch:
-        patch.setattr(ndjson, "_manifest", None)
-        patch.setattr(files, "delete", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
-        with pytest.raises(RuntimeError):
-            ndjson.write_days(more, root)
-    again = more.withColumn("reading_id", F.concat("reading_id", F.lit("2")))
+        patch.setattr(ndjson, "_replace_days", dies_at_manifest)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            ndjson.write_days(rows.unionByName(second), root)
+    assert os.path.exists(f"{root}/_writing.json")
+    # Another day in between does not make the torn day count as complete.
+    ndjson.write_days(third, root)
+    assert os.path.exists(f"{root}/_writing.json")
+    again = rows.unionByName(second).unionByName(third).withColumn("reading_id", F.concat("reading_id", F.lit("2")))
     ndjson.write_days(again, root)
+    assert not os.path.exists(f"{root}/_writing.json")
     ids = {r[0] for r in spark.read.json(root).select("reading_id").collect()}
-    assert ids == {"a", "b2"}
+    assert ids == {"a", "b2", "c"}
 
 
 def test_record_without_day_is_refused(spark, tmp_path):

@@ -11,3 +11,19 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_agrees_with_oracle(spark, sf_dir, name):
     assert difference(spark, sf_dir, name) is None
+
+
+def test_golden_counts(spark, sf_dir):
+    """Known counts over the smallest tables."""
+    readings = contract.queries()["silver"](spark, sf_dir)
+    flags = {r["quality_flag"]: r["count"] for r in readings.groupBy("quality_flag").count().collect()}
+    assert flags == {
+        "VALID": 822,
+        "OUT_OF_RANGE_TEMP": 97,
+        "ANOMALY_DETECTED": 43,
+        "SENSOR_NULL_TEMP": 20,
+        "SENSOR_NULL_ENERGY": 18,
+    }
+    assert contract.entry(spark).count() == 178
+    assert contract.queries()["gold_equipment_health"](spark, sf_dir).count() == 15
+    assert contract.queries()["gold_anomaly_alerts"](spark, sf_dir).count() == 178
