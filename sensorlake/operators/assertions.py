@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,54 +45,59 @@ def accepted_values(frame: DataFrame, column: str, values: Sequence[str]) -> Dat
     )
 
 
-def _result(test: str, column: str, failures: Column) -> Column:
-    return F.struct(
-        F.lit(test).alias("test"), F.lit(column).alias("column"), failures.alias("failures")
-    )
-
-
-def run_suite(silver: DataFrame) -> DataFrame:
+def run_suite(
+    silver: DataFrame,
+    not_null_columns: Sequence[str] = NOT_NULL,
+    accepted: Mapping[str, Sequence[str]] = ACCEPTED,
+    unique_columns: Sequence[str] = UNIQUE,
+) -> DataFrame:
     """One row per assertion: test, column, failures, status.
 
     ``failures`` is the number of rows the assertion yields, so for accepted
-    values it counts the values, not the readings. Three column-pruned
-    aggregates: all null counts at once, all unexpected values at once, and the
-    repeated ids, the only one with a large shuffle (ids alone).
+    values it counts the values, not the readings. Column-pruned aggregates: all
+    null counts at once, all unexpected values at once, and the repeated values
+    of each unique column, the only ones with a large shuffle (that column alone).
     """
-    null_counts = silver.agg(
-        *[count_where(F.col(c).isNull()).alias(c) for c in NOT_NULL]
-    ).select(F.inline(F.array(*[_result("not_null", c, F.col(c)) for c in NOT_NULL])))
-
-    unexpected = {c: ~F.col(c).isin(values) for c, values in ACCEPTED.items()}
-    anywhere = F.lit(False)
-    for condition in unexpected.values():
-        anywhere = anywhere | condition
-    # Few readings pass this filter, so only those are turned into pairs.
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("c"), F.when(bad, F.col(c)).alias("v")) for c, bad in unexpected.items()]
-    )
-    bad_values = (
-        silver.where(anywhere)
-        .select(F.inline(pairs))
-        .where("v is not null")
-        .groupBy("c", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    accepted = bad_values.agg(
-        *[count_where(F.col("c") == c).alias(c) for c in ACCEPTED]
-    ).select(F.inline(F.array(*[_result("accepted_values", c, F.col(c)) for c in ACCEPTED])))
-
-    suite = null_counts.unionByName(accepted)
-    for column in UNIQUE:
-        repeated = unique(silver, column).agg(F.count(F.lit(1)).alias("n"))
-        suite = suite.unionByName(
-            repeated.select(F.inline(F.array(_result("unique", column, F.col("n")))))
-        )
-    return suite.withColumn(
+    parts = []
+    if not_null_columns:
+        parts.append(_null_counts(silver, not_null_columns))
+    if accepted:
+        parts.append(_unexpected_counts(silver, accepted))
+    for column in unique_columns:
+        repeated = unique(silver, column).agg(F.count(F.lit(1)).alias(column))
+        parts.append(_as_results(repeated, "unique", [column]))
+    return reduce(DataFrame.unionByName, parts).withColumn(
         "status", F.when(F.col("failures") == 0, "pass").otherwise("fail")
     )
 
 
+def _as_results(counts: DataFrame, test: str, columns: Sequence[str]) -> DataFrame:
+    """Turns one row of counts into one row per column."""
+    results = [
+        F.struct(F.lit(test).alias("test"), F.lit(c).alias("column"), F.col(c).alias("failures"))
+        for c in columns
+    ]
+    return counts.select(F.inline(F.array(*results)))
+
+
+def _null_counts(silver: DataFrame, columns: Sequence[str]) -> DataFrame:
+    counts = silver.agg(*[count_where(F.col(c).isNull()).alias(c) for c in columns])
+    return _as_results(counts, "not_null", columns)
+
+
+def _unexpected_counts(silver: DataFrame, accepted: Mapping[str, Sequence[str]]) -> DataFrame:
+    unexpected = {c: ~F.col(c).isin(list(values)) for c, values in accepted.items()}
+    # Few readings pass this filter, so only those are turned into pairs.
+    suspects = silver.where(reduce(Column.__or__, unexpected.values()))
+    pairs = [
+        F.struct(F.lit(c).alias("name"), F.when(bad, F.col(c)).alias("value"))
+        for c, bad in unexpected.items()
+    ]
+    values = suspects.select(F.inline(F.array(*pairs))).where("value is not null").distinct()
+    counts = values.agg(*[count_where(F.col("name") == c).alias(c) for c in accepted])
+    return _as_results(counts, "accepted_values", list(accepted))
+
+
 def require_pass(silver: DataFrame) -> DataFrame:
     """Runs the suite once and raises if any assertion failed."""
     results = run_suite(silver).collect()  # one row per assertion

@@ -375,8 +375,8 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suite = assertions.run_suite(_silver(spark, sf_dir))
-    return suite.where("test = 'not_null'").select("column", "failures")
+    suite = assertions.run_suite(_silver(spark, sf_dir), accepted={}, unique_columns=[])
+    return suite.select("column", "failures")
 
 
 def dq_not_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,14 +390,17 @@ def dq_accepted_building(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _accepted_only(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    only = {column: assertions.ACCEPTED[column]}
+    return assertions.run_suite(_silver(spark, sf_dir), [], only, [])
+
+
 def dq_accepted_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suite = assertions.run_suite(_silver(spark, sf_dir))
-    return suite.where("test = 'accepted_values' and column = 'quality_flag'")
+    return _accepted_only(spark, sf_dir, "quality_flag")
 
 
 def dq_accepted_compressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suite = assertions.run_suite(_silver(spark, sf_dir))
-    return suite.where("test = 'accepted_values' and column = 'compressor_status'")
+    return _accepted_only(spark, sf_dir, "compressor_status")
 
 
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
