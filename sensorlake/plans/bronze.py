@@ -16,6 +16,9 @@ from sensorlake.operators.upsert import ntz_literal, sync_columns
 from sensorlake.session import scratch
 from sensorlake.sources import files, json_lines
 
+# Most files in one load.
+MAX_FILES = 100_000
+
 LOADS = schemas.struct("load_timestamp timestamp_ntz, rows_loaded bigint, load_batch string")
 CLAIMED = schemas.struct("path string, length bigint, modified_micros bigint, load_batch string")
 
@@ -243,19 +246,29 @@ def load_new_files(
     row_numbers: bool = True,
     now: dt.datetime | None = None,
     glob: str = json_lines.JSON_GLOB,
+    max_files: int = MAX_FILES,
 ) -> int:
     """Loads every not yet loaded file in ``[start, end)`` once; returns the rows.
 
     The files of a load are claimed before reading. A load that died is repeated
-    under its own label first, with the same files and the same load time.
+    under its own label first, with the same files and the same load time. More
+    files than ``max_files`` are loaded in several loads, one after the other.
     """
     total = 0
     for label in _unfinished(spark, store):
-        total += _land_claimed(spark, root, store, label, row_numbers, now, glob)
-    fresh = new_files(spark, root, store, start, end, glob)
-    label = f"files-{_claims(spark, store):010d}"
-    _replace_batch(fresh.withColumn("load_batch", F.lit(label)), store.claimed, "load_batch")
-    return total + _land_claimed(spark, root, store, label, row_numbers, now, glob)
+        paths = _claimed_paths(spark, store, label)
+        lines = json_lines.scan(spark, root, paths=paths, glob=glob)
+        total += land(spark, lines, store, label, row_numbers, now)
+    while True:
+        label = f"files-{_claims(spark, store):010d}"
+        fresh = new_files(spark, root, store, start, end, glob).limit(max_files)
+        _replace_batch(fresh.withColumn("load_batch", F.lit(label)), store.claimed, "load_batch")
+        paths = _claimed_paths(spark, store, label)
+        if paths:
+            lines = json_lines.scan(spark, root, paths=paths, glob=glob)
+            total += land(spark, lines, store, label, row_numbers, now)
+        if len(paths) < max_files:
+            return total
 
 
 def load_day(spark: SparkSession, root: str, store: BronzeStore, day: dt.date) -> int:
@@ -284,22 +297,7 @@ def _unfinished(spark: SparkSession, store: BronzeStore) -> list[str]:
     return _labels(claimed.join(done.select("load_batch"), "load_batch", "left_anti"))
 
 
-def _land_claimed(
-    spark: SparkSession,
-    root: str,
-    store: BronzeStore,
-    label: str,
-    row_numbers: bool,
-    now: dt.datetime | None,
-    glob: str,
-) -> int:
-    """Lands the files a label has claimed.
-
-    The paths go through the driver, as they do anyway when Spark plans the scan.
-    """
+def _claimed_paths(spark: SparkSession, store: BronzeStore, label: str) -> list[str]:
+    """Paths of one load, which is limited in files; the scan needs them as a list."""
     claimed = _read(spark, store.claimed, CLAIMED).where(F.col("load_batch") == label)
-    paths = [row["path"] for row in claimed.select("path").collect()]
-    if not paths:
-        return 0
-    lines = json_lines.scan(spark, root, paths=paths, glob=glob)
-    return land(spark, lines, store, label, row_numbers, now)
+    return [row["path"] for row in claimed.select("path").collect()]

@@ -14,11 +14,13 @@ from sensorlake.plans.bronze import BronzeStore
 from sensorlake.sources import json_lines
 
 
-def file_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, root: str, max_files: int = bronze.MAX_FILES) -> DataFrame:
     """Lines of files as they appear below ``root``."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", json_lines.JSON_GLOB)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = (
+        spark.readStream.format("text")
+        .option("pathGlobFilter", json_lines.JSON_GLOB)
+        .option("maxFilesPerTrigger", max_files)
+    )
     return json_lines.with_provenance(reader.load(root))
 
 
@@ -31,9 +33,9 @@ def follow(
     root: str,
     checkpoint: str,
     each_batch: Callable[[DataFrame, int], None],
-    max_files: int | None = None,
+    max_files: int = bronze.MAX_FILES,
 ) -> StreamingQuery:
-    """Runs over all files not seen before, in micro-batches, and ends."""
+    """Runs over all files not seen before, in micro-batches of at most ``max_files``."""
     return (
         file_stream(spark, root, max_files)
         .writeStream.foreachBatch(each_batch)
@@ -48,7 +50,7 @@ def to_bronze(
     root: str,
     store: BronzeStore,
     checkpoint: str,
-    max_files: int | None = None,
+    max_files: int = bronze.MAX_FILES,
 ) -> StreamingQuery:
     """Loads every file once.
 
@@ -69,7 +71,7 @@ def to_silver(
     buildings: DataFrame,
     path: str,
     checkpoint: str,
-    max_files: int | None = None,
+    max_files: int = bronze.MAX_FILES,
     on_cast_error: str = "fail",
     on_duplicate: str = "fail",
 ) -> StreamingQuery:

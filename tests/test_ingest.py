@@ -112,6 +112,13 @@ def test_stream_in_small_steps(spark, landing, store, tmp_path):
     assert (rows.count(), rows.select("load_timestamp").distinct().count()) == (5, 3)
 
 
+def test_many_files_take_several_loads(spark, landing, store):
+    assert bronze.load_new_files(spark, landing, store, max_files=2) == 5
+    rows = bronze.read_bronze(spark, store)
+    assert (rows.count(), rows.select("load_timestamp").distinct().count()) == (5, 2)
+    assert bronze.load_new_files(spark, landing, store, max_files=2) == 0
+
+
 def test_rewritten_file_counts_as_new(spark, landing, store):
     bronze.load_new_files(spark, landing, store)
     put(landing, 1, "sensors_000.json", [line(n) for n in range(4)])
