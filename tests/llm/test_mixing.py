@@ -1,0 +1,43 @@
+import math
+
+from pyspark.sql import functions as F
+
+from sensorlake.llm import mixing
+
+
+def test_rates_and_edges(edge_docs, no_docs):
+    rates = {r.source: r.rate for r in mixing.rates(edge_docs).collect()}
+    assert set(rates) == {"a", "b", None}
+    mixed = mixing.mix(edge_docs, seed=5)
+    assert set(mixed.columns) == set(edge_docs.columns) | {"mix_key"}
+    rows = mixed.collect()
+    assert len(rows) == len({(r.doc_id, r.source, r.text, r.copy, i) for i, r in enumerate(rows)})
+    assert mixing.mix(no_docs).count() == 0
+    assert mixing.mix(edge_docs.withColumn("text", F.lit(None).cast("string"))).count() == 0
+
+
+def test_counts_follow_the_distribution(spark):
+    """Over many documents the counts match the Poisson chances, small rates and large."""
+    docs = spark.range(40_000).selectExpr(
+        "id as doc_id", "'xxxx' as text", "if(id < 1000, 'rare', 'common') as source"
+    )
+    weights = {"rare": 0.5, "common": 0.5}
+    mixed = mixing.mix(docs, weights, seed=1)
+    counts = {r.source: r.n for r in mixed.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert abs(counts["rare"] - 20_000) < 5 * math.sqrt(20_000)
+    assert abs(counts["common"] - 20_000) < 5 * math.sqrt(20_000)
+    per_doc = mixed.where("source = 'common'").groupBy("doc_id").count().groupBy("count").count()
+    seen = {r[0]: r[1] for r in per_doc.collect()}
+    rate = 20_000 / 39_000
+    for k in (1, 2, 3):
+        want = 39_000 * math.exp(-rate) * rate**k / math.factorial(k)
+        assert abs(seen[k] - want) < 5 * math.sqrt(want)
+
+
+def test_same_draw_over_other_partitions_and_a_shuffled_order(documents):
+    one = mixing.mix(documents, seed=2).select("doc_id", "copy", "mix_key")
+    two = mixing.mix(documents.repartition(7), seed=2).select("doc_id", "copy", "mix_key")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    assert mixing.mix(documents, {"src0": 1.0}).select("source").distinct().collect() == [("src0",)]
+    plan = mixing.mix(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
