@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import body
+from sensorlake.llm.common import body, materialize
 
 
 def exact_groups(
@@ -42,6 +42,9 @@ def exact_groups(
         .alias("keep_id"),
         F.max("group_size").alias("group_size"),
     )
+    # Stored, the join has a shuffle of its own on either side, so that the
+    # adaptive plan can split the members of a group that is very large.
+    groups = materialize(groups, "exact-groups")
     return (
         rows.select("doc_id", digest, sha)
         .join(groups, ["digest", "text_sha256"])
