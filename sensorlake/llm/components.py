@@ -14,8 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has two columns of the same type. Alternates two star operations,
     each of which hands neighbours on to the least one: larger neighbours, then
     smaller ones, until nothing changes, after a number of rounds logarithmic in
-    the graph. Minima are aggregated before the shuffle, so a node with very many
-    neighbours costs no more than others.
+    the graph. Minima are aggregated before the shuffle and stored before they are
+    joined, so the adaptive plan can split a node with very many neighbours.
     """
     a, b = edges.columns
     found = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
@@ -35,14 +35,14 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "least")
     joined = both.join(least, "u").where("v > u")
     return joined.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # Edges already point from the larger node to the smaller.
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     joined = edges.join(least, "u").where("v <> m")
     handed = joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return handed.union(least.select("u", F.col("m").alias("v"))).distinct()

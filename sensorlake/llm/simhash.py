@@ -83,6 +83,7 @@ def _signed(value: int) -> int:
 
 def _forest(bits: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """For each fingerprint with a smaller one in its component here: it and the smallest."""
+    plain = bits.view(np.uint64)  # of signed numbers, bits of the absolute value are counted
     left = np.arange(len(bits))
     members, roots = [], []
     while len(left) > 1:
@@ -91,7 +92,7 @@ def _forest(bits: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
         while len(front) and len(left):
             near = np.zeros(len(left), bool)
             for start in range(0, len(front), TILE):
-                some = bits[front[start : start + TILE], None] ^ bits[None, left]
+                some = plain[front[start : start + TILE], None] ^ plain[None, left]
                 near |= (np.bitwise_count(some) <= max_bits).any(axis=0)
             front, left = left[near], left[~near]
             members.append(front)
@@ -191,3 +192,11 @@ def near_duplicates(
     named = rooted.join(least, "root").select("bits", "component_id")
     hexed = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
     return marked.join(named, "bits").select("doc_id", hexed, "component_id")
+
+
+def without_near_copies(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs`` that name their component, with their columns."""
+    found = near_duplicates(docs, words, max_bits)
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    left, right = docs.alias("d"), found.where(own).select("doc_id").distinct().alias("k")
+    return left.join(right, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")

@@ -60,11 +60,11 @@ def test_tiled_buckets_lose_no_link(spark, monkeypatch):
     """Many fingerprints in one bucket, cut into small tiles."""
     monkeypatch.setattr(simhash, "TILE", 8)
     rng = np.random.default_rng(3)
-    values = {int(1 << a | 1 << b) for a, b in rng.integers(0, 40, (120, 2))}
+    values = {simhash._signed(1 << a | 1 << b) for a, b in rng.integers(0, 64, (200, 2)).tolist()}
     rows = spark.createDataFrame([(v,) for v in values], "bits long")
     found = {r.node: r.root for r in components(simhash.links(rows, 2)).collect()}
-    want = plain_components([(v, v) for v in values], 2)
-    assert {v: found.get(v, v) for v in values} == want
+    want = plain_components([(v, v % (1 << 64)) for v in values], 2)
+    assert {v % (1 << 64): found.get(v, v) for v in values} == want
 
 
 def test_components_of_a_long_chain(spark):
