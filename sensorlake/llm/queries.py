@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import byte_bpe, exact_dedup, mixing, simhash
+from sensorlake.llm import byte_bpe, chunk_dedup, code_search, exact_dedup, line_dedup, mixing, ngram_lm, simhash, suffix_dedup, toxicity
+from sensorlake.llm.common import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +18,59 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["begin"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scorer = toxicity.fit(docs, table(spark, sf_dir, "labels"), training=fold(5) != 0)
+    rows = docs.select("doc_id", "text", (fold(5) == 0).alias("held_out"))
+    return scorer.score(rows, "text").select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op6_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the vectors whose id is divisible by 100, against all vectors."""
+    codes = materialize(
+        code_search.sign_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "codes-all"
+    )
+    bits = codes.agg(F.max(F.size("code"))).first()[0] or 1
+    return code_search.nearest(codes, codes.where("id % 100 = 0"), bits=64 * bits, k=10)
+
+
+def fold(modulus: int) -> Column:
+    """The remainder of the CRC-32 of an id's text; a row without an id has that of no text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))
+
+
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"), training=fold(7) != 2)
+
+
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = chunk_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
 
@@ -33,24 +83,33 @@ def tokenizer(spark: SparkSession) -> byte_bpe.ByteBpe:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(table(spark, sf_dir, "documents"), tokenizer(spark))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_digests(docs, tokenizer(spark))
 
 
-def token_digests(docs: DataFrame, bpe: byte_bpe.ByteBpe) -> DataFrame:
-    rows = docs.select("doc_id", "text")
-    coded = byte_bpe.decode(byte_bpe.encode(rows, bpe), bpe)
+def token_digests(docs: DataFrame, bpe: byte_bpe.ByteBpe, *others: str) -> DataFrame:
+    """Digests of the ids of each text and of the bytes they decode to; also ``others``."""
+    kept = {"doc_id", "text", *others} - {"ids"}
+    coded = byte_bpe.decode(byte_bpe.encode(docs.select(*kept), bpe), bpe)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *others,
     )
 
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_code_search": op6_code_search,
+    "op7_ngram_lm": op7_ngram_lm,
+    "op8_chunk_dedup": op8_chunk_dedup,
     "op9_simhash": op9_simhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -105,4 +164,20 @@ ORACLES = {
             doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
         from documents window same as (partition by coalesce(text, ''))
     """,
+    "op6_code_search": """
+        with codes as (
+            select vec_id as id,
+                list_transform(embedding, lambda x: (x > 0)::int) as code from embeddings
+        ),
+        pairs as (
+            select q.id as query_id, c.id,
+                list_sum(list_transform(list_zip(q.code, c.code),
+                    lambda p: (p[1] <> p[2])::int))::int as distance
+            from codes q, codes c where q.id % 100 = 0
+        )
+        select query_id, rank::int as rank, id, distance from (
+            select *, row_number() over (partition by query_id order by distance, id) as rank
+            from pairs
+        ) where rank <= 10
+    """,
 }

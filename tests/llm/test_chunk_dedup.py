@@ -1,0 +1,93 @@
+import numpy as np
+
+from sensorlake.llm import chunk_dedup
+
+
+def plain_cuts(data):
+    """Chunk ends byte by byte."""
+    out, last, value = [], 0, 0
+    for i, b in enumerate(data):
+        value = ((value << 1) + int(chunk_dedup._GEAR[b])) & 0xFFFFFFFF
+        end = None
+        if value >> (32 - chunk_dedup.ZEROS) == 0:
+            end = i + 1
+            while end < len(data) and data[end] & 0xC0 == 0x80:
+                end += 1
+            while end - last > chunk_dedup.MOST:
+                last += chunk_dedup.MOST
+                while data[last] & 0xC0 == 0x80:
+                    last += 1
+                out.append(last)
+            if end - last >= chunk_dedup.LEAST:
+                out.append(end)
+                last = end
+    while len(data) - last > chunk_dedup.MOST:
+        last += chunk_dedup.MOST
+        while data[last] & 0xC0 == 0x80:
+            last += 1
+        out.append(last)
+    if last < len(data):
+        out.append(len(data))
+    return out
+
+
+def plain(rows):
+    places = sorted({(i is not None, i or 0, t or "") for i, t in rows}, key=lambda r: r[:2])
+    first, out = {}, {}
+    for named, i, text in places:
+        data, kept, ids, n, gone = text.encode(), b"", set(), 0, 0
+        begin = 0
+        for end in plain_cuts(data):
+            chunk = data[begin:end]
+            n += 1
+            if chunk in first:
+                gone += 1
+                ids |= {first[chunk]} - {None}
+            else:
+                first[chunk] = i if named else None
+                kept += chunk
+            begin = end
+        row = (len(data), n, gone, len(data) - len(kept), sorted(ids), kept.decode())
+        out[(i if named else None, text)] = row
+    return out
+
+
+def compare(docs):
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = plain(rows)
+    expected = sorted(((i, *want[i, t or ""]) for i, t in rows), key=repr)
+    got = sorted(map(tuple, chunk_dedup.without_repeats(docs).collect()), key=repr)
+    assert got == expected
+
+
+def test_documents_match_brute_force(documents):
+    compare(documents)
+
+
+def test_edges(edge_docs, no_docs):
+    compare(edge_docs)
+    assert chunk_dedup.without_repeats(no_docs).count() == 0
+
+
+def test_cuts_match_byte_by_byte_and_survive_pieces(monkeypatch):
+    rng = np.random.default_rng(0)
+    texts = ["".join(rng.choice(list("abcdé🙂 "), 4_000)), "x" * 5_000, "é" * 3_000, "a"]
+    for piece in (1 << 18, 100):
+        monkeypatch.setattr(chunk_dedup, "PIECE", piece)
+        for text in texts:
+            data = text.encode()
+            assert chunk_dedup.cuts(data) == plain_cuts(data)
+            assert all(data[b:e].decode() for b, e in zip([0, *plain_cuts(data)], plain_cuts(data)))
+
+
+def test_a_shifted_passage_is_caught(spark):
+    """A passage of fifty words behind other beginnings loses most of its bytes."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
+    passage = " ".join(word() for _ in range(60))
+    rows = [(i, " ".join(word() for _ in range(30 + i)) + " " + passage + " " + word()) for i in range(40)]
+    got = {r.doc_id: r for r in chunk_dedup.without_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].n_removed == 0
+    assert all(got[i].n_removed > 100 and 0 in got[i].first_ids for i in range(1, 40))
+    assert np.mean([got[i].n_removed for i in range(1, 40)]) > 250

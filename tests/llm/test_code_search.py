@@ -1,0 +1,53 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from sensorlake.llm import code_search
+
+
+def plain(codes, asked, k):
+    out = []
+    for q, query in asked:
+        near = sorted((sum((a ^ b) % (1 << 64) and bin((a ^ b) % (1 << 64)).count("1") for a, b in zip(query, c)), i) for i, c in codes)
+        out += [(q, rank, i, d) for rank, (d, i) in enumerate(near[:k], 1)]
+    return sorted(out)
+
+
+def rows(frame):
+    return [(r.id, list(r.code)) for r in frame.collect()]
+
+
+def compare(codes, queries, bits, k, width=16):
+    got = sorted(map(tuple, code_search.nearest(codes, queries, bits, k, width).collect()))
+    assert got == plain(rows(codes), rows(queries), k)
+
+
+def test_clusters_copies_and_wide_codes(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(5, 100))
+    vectors = [centres[i % 5] + rng.normal(size=100) * 0.3 for i in range(300)]
+    vectors += [vectors[3]] * 40
+    table = spark.createDataFrame(
+        [(i, v.tolist(), "x") for i, v in enumerate(vectors)], "id long, v array<double>, code string"
+    )
+    codes = code_search.sign_codes(table, "id", "v").cache()
+    compare(codes, codes.where("id % 10 = 0"), bits=100, k=7, width=8)
+    compare(codes, codes.where("id % 50 = 3"), bits=100, k=45, width=16)
+    compare(codes.limit(4), codes.where("id = 0"), bits=100, k=7, width=8)
+
+
+def test_defined_cases(spark):
+    vectors = spark.createDataFrame(
+        [(1, [1.0, -1.0]), (1, [1.0, -1.0]), (2, None), (3, []), (None, [1.0, 1.0]), (4, [None, 2.0])],
+        "vec_id long, embedding array<double>",
+    )
+    codes = code_search.sign_codes(vectors, "vec_id", "embedding")
+    assert sorted(r.id for r in codes.collect()) == [1, 1, 4]
+    compare(codes, codes.where("id = 4"), bits=2, k=2)
+    assert code_search.nearest(codes.limit(0), codes.limit(0), bits=2).count() == 0
+
+
+def test_recall_is_whole(spark, sf_dir):
+    """Against brute force over the table of vectors."""
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    codes = code_search.sign_codes(table, "vec_id", "embedding").cache()
+    compare(codes, codes.where(F.col("id") % 50 == 0), bits=64, k=10)

@@ -1,0 +1,87 @@
+import numpy as np
+import pytest
+
+from sensorlake.llm import suffix_dedup
+
+
+def plain(rows, length):
+    """Kept bytes and spans by looking every window up in a dictionary."""
+    places = sorted({(i is not None, i or 0, t or "") for i, t in rows}, key=lambda r: r[:2])
+    seen, out = set(), {}
+    for named, i, text in places:
+        data = text.encode()
+        gone = np.zeros(len(data), bool)
+        for at in range(len(data) - length + 1):
+            window = data[at : at + length]
+            if window in seen:
+                gone[at : at + length] = True
+            seen.add(window)
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
+        spans = list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+        kept = bytes(np.frombuffer(data, np.uint8)[~gone])
+        out[(i if named else None, text)] = (len(data), spans, kept)
+    return out
+
+
+def compare(docs, length=100):
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = plain(rows, length)
+    expected = sorted(((i, *want[i, t or ""]) for i, t in rows), key=repr)
+    got = sorted(
+        (
+            (r.doc_id, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept))
+            for r in suffix_dedup.without_repeats(docs, length).collect()
+        ),
+        key=repr,
+    )
+    assert got == expected
+
+
+def test_documents_match_brute_force(documents):
+    compare(documents)
+
+
+def test_edges(edge_docs, no_docs):
+    compare(edge_docs)
+    compare(edge_docs, length=40)
+    assert suffix_dedup.without_repeats(no_docs).count() == 0
+    with pytest.raises(ValueError):
+        suffix_dedup.without_repeats(no_docs, length=20)
+
+
+def test_small_alphabet_pieces_blocks_and_salts(spark, monkeypatch):
+    """Long ties, texts cut into pieces, many blocks and buckets, and salted names."""
+    for name, value in (("PIECE", 400), ("BLOCK", 3_000), ("BUCKET", 64), ("SALTED", 5)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = np.random.default_rng(1)
+    base = "".join(rng.choice(list("ab"), 3_000))
+    passage = "".join(rng.choice(list("abcdefgh "), 150))
+    rows = [(0, base), (1, base[500:1_500] + "c" + base[100:700]), (2, "ab" * 700), (3, "a" * 900)]
+    rows += [(10 + i, f"{rng.integers(1 << 60)}" * 4 + passage + f"{rng.integers(1 << 60)}" * 5) for i in range(60)]
+    compare(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_cover_has_every_difference():
+    offsets = suffix_dedup._common_offsets()
+    cover = set(suffix_dedup.COVER)
+    for a in range(suffix_dedup.PERIOD):
+        for b in range(suffix_dedup.PERIOD):
+            assert {(a + offsets[a, b]) % 16, (b + offsets[a, b]) % 16} <= cover
+
+
+def test_sorting_groups_equal_windows():
+    """Windows of a block fall into the classes that comparing them gives, residues mixed."""
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("ab"), n)).encode() for n in (300, 200, 500)]
+    texts += [texts[0][37:180], texts[2][3:200], b"ab" * 150, b"aab" * 60]
+    block = suffix_dedup.Block(texts, np.zeros(len(texts), np.int64) + 3, 40)
+    windows = {
+        int(w): texts[block.text_of[w]][o : o + 40]
+        for w, o in enumerate(block.starts - block.begins[block.text_of])
+    }
+    got = []
+    for numbers, border in block.classes():
+        for part in np.split(numbers, np.flatnonzero(border)[1:]):
+            assert len({windows[int(w)] for w in part}) == 1
+            got.append(windows[int(part[0])])
+    assert len(got) == len(set(got)) == len(set(windows.values()))
