@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from sensorlake.operators.enrich import DuplicateKeyError
 from sensorlake.session import scratch
 from sensorlake.sources import files
+from sensorlake.sources.tables import write_full
 
-# A key list is broadcast only up to this many rows (a 36-character id each).
-BROADCAST_KEYS = 500_000
-# Above this many distinct dates the whole table is rewritten instead.
-MAX_TOUCHED_DATES = 5_000
+# A key list is broadcast only up to this many bytes.
+BROADCAST_KEY_BYTES = 32 * 1024 * 1024
+ON_DUPLICATE = ("fail", "latest", "fail_matched")
 
 _SCHEMA_NOTE = "_schema.json"
 _PENDING_NOTE = "_pending_swap.json"
@@ -136,9 +136,37 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
 def create_table(
     spark: SparkSession, path: str, rows: DataFrame, partition: str = "reading_date"
 ) -> None:
-    """Builds the table anew from all rows, written once and without a shuffle."""
-    rows.write.mode("overwrite").partitionBy(partition).parquet(path)
-    _save_schema(spark, path, rows.schema, [])
+    """Builds the table anew from all rows, written once and without a shuffle.
+
+    An older table stays readable until the new one is complete.
+    """
+    write_full(rows, path, partition, notes={_SCHEMA_NOTE: _schema_note(rows.schema, [])})
+
+
+def build_table(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    key: str = "reading_id",
+    partition: str = "reading_date",
+    on_duplicate: str = "fail_matched",
+) -> None:
+    """Builds the table anew under a policy for keys that occur more than once.
+
+    "latest" keeps the newest row of each key, "fail" raises and leaves an older
+    table as it was, "fail_matched" keeps all rows, as nothing stored matches.
+    """
+    check_policy(on_duplicate)
+    if on_duplicate == "latest":
+        rows = latest_per_key(rows, key)
+    elif on_duplicate == "fail" and not duplicate_keys(rows.select(key), key).isEmpty():
+        raise DuplicateKeyError(f"{key} occurs more than once")
+    create_table(spark, path, rows, partition)
+
+
+def check_policy(on_duplicate: str) -> None:
+    if on_duplicate not in ON_DUPLICATE:
+        raise ValueError(f"on_duplicate is {on_duplicate!r}, not fail, latest or fail_matched")
 
 
 def merge_into(
@@ -161,15 +189,33 @@ def merge_into(
     One writer at a time. A run that died is finished by the next call, and
     merging a batch again changes nothing.
     """
-    if on_duplicate not in ("fail", "latest", "fail_matched"):
-        raise ValueError(f"on_duplicate is {on_duplicate!r}, not fail, latest or fail_matched")
+    check_policy(on_duplicate)
     recover(spark, path)
     if not table_exists(spark, path) or read_stored(spark, path).isEmpty():
-        create_table(spark, path, batch, partition)
+        # Nothing is stored that a repeated key could match.
+        first = "latest" if on_duplicate == "latest" else "fail_matched"
+        build_table(spark, path, batch, key, partition, first)
         return
 
-    # The batch is used several times below, so it is stored once.
     work = scratch(spark, "merge")
+    try:
+        _merge(spark, path, batch, key, partition, on_duplicate, work)
+    finally:
+        # An announced swap still needs its folder; the call that completes it removes it.
+        if files.read_note(spark, f"{path}/{_PENDING_NOTE}") is None:
+            files.delete(spark, work)
+
+
+def _merge(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    key: str,
+    partition: str,
+    on_duplicate: str,
+    work: str,
+) -> None:
+    # The batch is used several times below, so it is stored once.
     batch = _store(spark, batch, f"{work}/batch")
     target = read_stored(spark, path)
     if on_duplicate == "latest":
@@ -179,12 +225,12 @@ def merge_into(
         if on_duplicate == "fail_matched":
             refused = refused.join(target.select(key), key, "left_semi")
         if not refused.isEmpty():
-            files.delete(spark, work)
             raise DuplicateKeyError(f"{key} occurs more than once in the batch")
 
     dropped = _dropped_columns(spark, path)
     keys = batch.select(key).where(F.col(key).isNotNull())
-    small = batch.count() <= BROADCAST_KEYS
+    key_bytes = keys.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
+    small = key_bytes <= BROADCAST_KEY_BYTES
     dates = None
     if not _needs_rewrite(target.schema, batch.schema, dropped):
         dates = _touched_dates(target, batch, F.broadcast(keys) if small else keys, key, partition)
@@ -213,10 +259,16 @@ def merge_into(
 
 def recover(spark: SparkSession, path: str) -> None:
     """Finishes a swap that was announced but not completed; safe to repeat."""
+    files.restore_directory(spark, path)
     note = files.read_note(spark, f"{path}/{_PENDING_NOTE}")
     if note is None:
         return
-    pending = json.loads(note)
+    try:
+        pending = json.loads(note)
+    except json.JSONDecodeError:
+        # Notes appear whole; a broken one is of an older writer and announced nothing.
+        files.delete(spark, f"{path}/{_PENDING_NOTE}")
+        return
     schema = T.StructType.fromJson(pending["schema"])
     partition = pending["partition"]
     (
@@ -242,14 +294,10 @@ def _store(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
 
 def _touched_dates(
     target: DataFrame, batch: DataFrame, keys: DataFrame, key: str, partition: str
-) -> list[dt.date | None] | None:
-    """Dates of the batch and of the rows it replaces; None means too many."""
+) -> list[dt.date | None]:
+    """Dates of the batch and of the rows it replaces."""
     replaced = target.select(key, partition).join(keys, key, "left_semi").select(partition)
-    dates = (
-        replaced.unionByName(batch.select(partition)).distinct().limit(MAX_TOUCHED_DATES + 1)
-    )
-    found = [row[0] for row in dates.collect()]
-    return None if len(found) > MAX_TOUCHED_DATES else found
+    return _distinct_dates(replaced.unionByName(batch.select(partition)), partition)
 
 
 def _distinct_dates(frame: DataFrame, partition: str) -> list[dt.date | None]:
@@ -279,6 +327,9 @@ def _dropped_columns(spark: SparkSession, path: str) -> list[str]:
     return json.loads(note)["dropped"] if note else []
 
 
+def _schema_note(schema: T.StructType, dropped: list[str]) -> str:
+    return json.dumps({"schema": schema.jsonValue(), "dropped": dropped})
+
+
 def _save_schema(spark: SparkSession, path: str, schema: T.StructType, dropped: list[str]) -> None:
-    note = {"schema": schema.jsonValue(), "dropped": dropped}
-    files.write_note(spark, f"{path}/{_SCHEMA_NOTE}", json.dumps(note))
+    files.write_note(spark, f"{path}/{_SCHEMA_NOTE}", _schema_note(schema, dropped))

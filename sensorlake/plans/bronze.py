@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +18,6 @@ from sensorlake.operators.upsert import ntz_literal, sync_columns
 from sensorlake.session import scratch
 from sensorlake.sources import files, json_lines
 
-# Most files in one load.
-MAX_FILES = 100_000
-
 LOADS = schemas.struct("load_timestamp timestamp_ntz, rows_loaded bigint, load_batch string")
 CLAIMED = schemas.struct("path string, length bigint, modified_micros bigint, load_batch string")
 
@@ -28,7 +27,8 @@ class BronzeStore:
     """Where the bronze tables live. Each is partitioned by the load batch.
 
     Records and rejected lines are two branches of one directory, so that one
-    write can fill both.
+    write can fill both. Below each branch the load comes first and the date
+    second: a load is one directory, listed, read and replaced by itself.
 
     One loader at a time writes to a store: either the file loader or a stream.
     """
@@ -66,10 +66,27 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def _read_loads(
+    spark: SparkSession, path: str, schema: T.StructType, labels: list[str]
+) -> DataFrame:
+    """Rows of some loads; directories of other loads are not listed."""
+    paths = [f"{path}/load_batch={label}" for label in labels]
+    paths = [p for p in paths if files.exists(spark, p)]
+    if not paths:
+        return sync_columns(spark.range(0), schema)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*paths)
+    return rows.select(*schema.names)
+
+
 def read_bronze(spark: SparkSession, store: BronzeStore) -> DataFrame:
     return _read(spark, store.readings, schemas.BRONZE)
 
 
+def read_load(spark: SparkSession, store: BronzeStore, label: str) -> DataFrame:
+    """The rows of one load."""
+    return _read_loads(spark, store.readings, schemas.BRONZE, [label])
+
+
 def read_since(spark: SparkSession, store: BronzeStore, mark: dt.datetime | None) -> DataFrame:
     """Bronze rows of finished loads after the mark, or of all finished loads.
 
@@ -78,11 +95,11 @@ def read_since(spark: SparkSession, store: BronzeStore, mark: dt.datetime | None
     written is left for the next time: its rows are not all there yet.
     """
     loads = _read(spark, store.loads, LOADS)
-    readings = read_bronze(spark, store)
     if mark is None:
-        return readings.where(~F.col("load_batch").isin(_labels(loads.where("rows_loaded is null"))))
+        unfinished = _labels(loads.where("rows_loaded is null"))
+        return read_bronze(spark, store).where(~F.col("load_batch").isin(unfinished))
     fresh = loads.where("rows_loaded is not null").where(F.col("load_timestamp") > ntz_literal(mark))
-    return readings.where(F.col("load_batch").isin(_labels(fresh)))
+    return _read_loads(spark, store.readings, schemas.BRONZE, _labels(fresh))
 
 
 def _labels(loads: DataFrame) -> list[str]:
@@ -151,16 +168,41 @@ def land(
     label: str,
     row_numbers: bool = True,
     now: dt.datetime | None = None,
+    expected: int | None = None,
+    vanished: Sequence[str] = (),
 ) -> int:
     """Loads scanned lines as the batch ``label`` and returns the rows loaded.
 
+    ``expected`` is the number of files that must have given lines, if known;
+    ``vanished`` are files that were to be loaded and are noted as gone.
+
     One pass parses the lines and writes records and rejected lines side by side;
     row numbers cost one more scan that only counts. Nothing is shuffled: a scan
     task holds lines of one or a few days, so writing by date from there already
-    gives few files. Landing a label again replaces it.
+    gives few files. Landing a label again replaces it, all its dates included.
     """
     moment = _open_load(spark, store, label, now)
     work = scratch(spark, "land")
+    try:
+        _write_lines(spark, lines, store, label, row_numbers, moment, work)
+    finally:
+        files.delete(spark, work)
+    loaded = _report(spark, store, label, moment, expected, vanished)
+    _note_load(spark, store, label, moment, rows_loaded=loaded)
+    return loaded
+
+
+def _write_lines(
+    spark: SparkSession,
+    lines: DataFrame,
+    store: BronzeStore,
+    label: str,
+    row_numbers: bool,
+    moment: dt.datetime,
+    work: str,
+) -> None:
+    for branch in (store.readings, store.quarantine):
+        files.delete(spark, f"{branch}/load_batch={label}")
     with fixed_splits(spark):
         if row_numbers:
             numbered = number_rows(spark, with_scan_order(lines), work)
@@ -182,35 +224,44 @@ def land(
             ),
             store.lines,
             "accepted",
-            "reading_date",
             "load_batch",
+            "reading_date",
         )
-    loaded = _report(spark, store, label, moment)
-    _note_load(spark, store, label, moment, rows_loaded=loaded)
-    files.delete(spark, work)
-    return loaded
 
 
-def _report(spark: SparkSession, store: BronzeStore, label: str, moment: dt.datetime) -> int:
+def _report(
+    spark: SparkSession,
+    store: BronzeStore,
+    label: str,
+    moment: dt.datetime,
+    expected: int | None,
+    vanished: Sequence[str],
+) -> int:
     """Writes the lines loaded and rejected per file of a load; returns the former."""
 
     def names(frame: DataFrame, accepted: bool) -> DataFrame:
-        mine = frame.where(F.col("load_batch") == label)
-        return mine.select("source_file_name", F.lit(accepted).alias("accepted"))
+        return frame.select("source_file_name", F.lit(accepted).alias("accepted"))
 
-    seen = names(read_bronze(spark, store), True).unionByName(
-        names(read_quarantine(spark, store), False)
-    )
+    rejected = _read_loads(spark, store.quarantine, schemas.QUARANTINE, [label])
+    seen = names(read_load(spark, store, label), True).unionByName(names(rejected, False))
     report = seen.groupBy("source_file_name").agg(
         fn.count_where(F.col("accepted")).alias("rows_loaded"),
         fn.count_where(~F.col("accepted")).alias("rows_rejected"),
     )
+    if vanished:
+        gone = spark.createDataFrame([(path,) for path in vanished], "source_file_name string")
+        report = report.unionByName(gone, allowMissingColumns=True)
     stamped = report.withColumns(
         {"load_timestamp": ntz_literal(moment), "load_batch": F.lit(label)}
     )
     _replace_batch(stamped.select(*schemas.FILE_LOG.names), store.file_log, "load_batch")
-    mine = read_file_log(spark, store).where(F.col("load_batch") == label)
-    return mine.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("n")).first()["n"]
+    mine = _read_loads(spark, store.file_log, schemas.FILE_LOG, [label])
+    sums = mine.agg(
+        F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("n"), F.count("rows_loaded").alias("read")
+    ).first()
+    if expected is not None and sums["read"] != expected:
+        raise FilesNotRead(f"load {label} read {sums['read']} files with lines, not {expected}")
+    return sums["n"]
 
 
 def new_files(
@@ -228,7 +279,7 @@ def new_files(
     """
     identity = ["path", "length", "modified_micros"]
     claimed = _read(spark, store.claimed, CLAIMED).select(*identity)
-    paths = json_lines.window_paths(spark, root, start, end)
+    paths = [files.escaped(p) for p in json_lines.window_paths(spark, root, start, end)]
     if not paths:
         return claimed.limit(0)
     listing = files.list_files(spark, root, glob, paths)
@@ -246,29 +297,48 @@ def load_new_files(
     row_numbers: bool = True,
     now: dt.datetime | None = None,
     glob: str = json_lines.JSON_GLOB,
-    max_files: int = MAX_FILES,
 ) -> int:
     """Loads every not yet loaded file in ``[start, end)`` once; returns the rows.
 
-    The files of a load are claimed before reading. A load that died is repeated
-    under its own label first, with the same files and the same load time. More
-    files than ``max_files`` are loaded in several loads, one after the other.
+    All new files are one load with one load time. They are claimed before they
+    are read. A load that died is repeated under its own label first, with the
+    same files and the same load time. A claimed file that has vanished is noted
+    in the file log, with no counts, and the others are loaded.
     """
     total = 0
     for label in _unfinished(spark, store):
-        paths = _claimed_paths(spark, store, label)
-        lines = json_lines.scan(spark, root, paths=paths, glob=glob)
-        total += land(spark, lines, store, label, row_numbers, now)
-    while True:
-        label = f"files-{_claims(spark, store):010d}"
-        fresh = new_files(spark, root, store, start, end, glob).limit(max_files)
-        _replace_batch(fresh.withColumn("load_batch", F.lit(label)), store.claimed, "load_batch")
-        paths = _claimed_paths(spark, store, label)
-        if paths:
-            lines = json_lines.scan(spark, root, paths=paths, glob=glob)
-            total += land(spark, lines, store, label, row_numbers, now)
-        if len(paths) < max_files:
-            return total
+        total += _load_claimed(spark, root, store, label, row_numbers, now, glob)
+    label = f"files-{_claims(spark, store):010d}"
+    fresh = new_files(spark, root, store, start, end, glob)
+    _replace_batch(fresh.withColumn("load_batch", F.lit(label)), store.claimed, "load_batch")
+    return total + _load_claimed(spark, root, store, label, row_numbers, now, glob)
+
+
+class FilesNotRead(RuntimeError):
+    """A load read other files than it had claimed."""
+
+
+def _load_claimed(
+    spark: SparkSession,
+    root: str,
+    store: BronzeStore,
+    label: str,
+    row_numbers: bool,
+    now: dt.datetime | None,
+    glob: str,
+) -> int:
+    claimed = _claimed_files(spark, store, label)
+    if not claimed:
+        return 0
+    with ThreadPoolExecutor(16) as pool:
+        there = list(pool.map(lambda path: files.exists(spark, path), claimed))
+    present = [path for path, found in zip(claimed, there) if found]
+    vanished = [path for path, found in zip(claimed, there) if not found]
+    lines = json_lines.scan(spark, root, paths=present, glob=glob)
+    return land(
+        spark, lines, store, label, row_numbers, now,
+        expected=sum(claimed[path] > 0 for path in present), vanished=vanished,
+    )
 
 
 def load_day(spark: SparkSession, root: str, store: BronzeStore, day: dt.date) -> int:
@@ -297,7 +367,7 @@ def _unfinished(spark: SparkSession, store: BronzeStore) -> list[str]:
     return _labels(claimed.join(done.select("load_batch"), "load_batch", "left_anti"))
 
 
-def _claimed_paths(spark: SparkSession, store: BronzeStore, label: str) -> list[str]:
-    """Paths of one load, which is limited in files; the scan needs them as a list."""
-    claimed = _read(spark, store.claimed, CLAIMED).where(F.col("load_batch") == label)
-    return [row["path"] for row in claimed.select("path").collect()]
+def _claimed_files(spark: SparkSession, store: BronzeStore, label: str) -> dict[str, int]:
+    """Paths of one load with their lengths; the scan needs them as a list."""
+    claimed = _read_loads(spark, store.claimed, CLAIMED, [label])
+    return {row["path"]: row["length"] for row in claimed.select("path", "length").collect()}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorlake import schemas
 from sensorlake.functions import columns as fn
+from sensorlake.sources.tables import write_full
 
 
 def energy_summary(silver: DataFrame) -> DataFrame:
@@ -71,13 +72,11 @@ def write_alerts(silver: DataFrame, path: str) -> None:
     Stored silver lies by date already, so this needs no shuffle; a reader that
     wants a global order sorts the dates it reads.
     """
-    (
-        anomaly_alerts(silver, ordered=False)
-        .sortWithinPartitions("reading_date", F.desc_nulls_first("reading_timestamp"))
-        .write.mode("overwrite")
-        .partitionBy("reading_date")
-        .parquet(path)
+    alerts = anomaly_alerts(silver, ordered=False)
+    newest_first = alerts.sortWithinPartitions(
+        "reading_date", F.desc_nulls_first("reading_timestamp")
     )
+    write_full(newest_first, path, "reading_date")
 
 
 MODELS = {

@@ -65,21 +65,26 @@ def refresh(
     path: str,
     full: bool = False,
     on_cast_error: str = "fail",
-    on_duplicate: str = "fail",
+    on_duplicate: str = "fail_matched",
 ) -> None:
     """Brings the stored silver table up to date with bronze.
 
     With rows already present only newer loads are read and merged by
     ``reading_id``. A missing or empty table, or ``full``, builds it from all of
     bronze; a full build also brings later dimension changes to old readings.
+
+    ``on_duplicate`` holds for both: "latest" keeps the newest row of a repeated
+    id, "fail" raises, and "fail_matched" raises only for ids stored already, so
+    a build keeps all rows and the uniqueness assertion reports them.
     """
+    upsert.check_policy(on_duplicate)
     upsert.recover(spark, path)
     mark = None
     if not full and upsert.table_exists(spark, path):
         mark = upsert.high_water_mark(upsert.read_stored(spark, path))
     rows = build(read_since(spark, store, mark), buildings, mark, on_cast_error)
     if mark is None:
-        upsert.create_table(spark, path, rows)
+        upsert.build_table(spark, path, rows, on_duplicate=on_duplicate)
     else:
         upsert.merge_into(spark, path, rows, on_duplicate=on_duplicate)
 

@@ -50,12 +50,80 @@ def read_note(spark: SparkSession, path: str) -> str | None:
 
 
 def write_note(spark: SparkSession, path: str, text: str) -> None:
-    fs, target = _locate(spark, path)
+    """Replaces a side file at once: a crash leaves the old content or the new."""
+    folder, _, name = path.rpartition("/")
+    draft = f"{folder}/_draft{name}"
+    fs, target = _locate(spark, draft)
     stream = fs.create(target, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    move_over(spark, draft, path)
+
+
+def move_over(spark: SparkSession, source: str, path: str) -> None:
+    """Renames a file or an empty place's directory over ``path``, replacing a file there."""
+    jvm = spark._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    _, start = _locate(spark, source)
+    _, target = _locate(spark, path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsc.hadoopConfiguration()
+    )
+    context.rename(start, target, options)
+
+
+def replace_directory(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts the finished directory ``fresh`` in the place of ``path``.
+
+    The old directory is set aside first and goes last. A crash in between leaves
+    it beside ``path``, where ``restore_directory`` finds it.
+    """
+    fs, source = _locate(spark, fresh)
+    _, target = _locate(spark, path)
+    _, aside = _locate(spark, _aside(path))
+    if fs.exists(target):
+        fs.delete(aside, True)
+        fs.rename(target, aside)
+    elif target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{fresh} could not be moved to {path}")
+    fs.delete(aside, True)
+
+
+def restore_directory(spark: SparkSession, path: str) -> None:
+    """Brings back a directory whose replacement was broken off."""
+    fs, target = _locate(spark, path)
+    _, aside = _locate(spark, _aside(path))
+    if fs.exists(aside) and not fs.exists(target):
+        fs.rename(aside, target)
+
+
+def _aside(path: str) -> str:
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_old_{name}"
+
+
+def partition_numbers(spark: SparkSession, path: str, column: str) -> list[tuple[int, str]]:
+    """The numbers of directories ``column=number`` below a path, with their paths."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return []
+    found = []
+    for status in fs.listStatus(target):
+        key, _, value = status.getPath().getName().partition("=")
+        if key == column and value.isdigit() and status.isDirectory():
+            found.append((int(value), status.getPath().toString()))
+    return sorted(found)
+
+
+def escaped(path: str) -> str:
+    """A path that readers take literally, not as a pattern."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
 
 
 def list_files(

@@ -7,11 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.sources import files, ndjson
+from sensorlake.sources import files
 
 JSON_GLOB = "*.json"
-# Longer windows are read from the root and pruned by partition.
-MAX_LISTED_DAYS = 400
 
 
 def path_day() -> Column:
@@ -37,16 +35,33 @@ def last_days(days_back: int, today: dt.date | None = None) -> tuple[dt.date, dt
 def window_paths(
     spark: SparkSession, root: str, start: dt.date | None, end: dt.date | None
 ) -> list[str]:
-    """Directories to list for a window.
+    """Directories to list for a window: its days, found by year and month.
 
-    For a bounded window these are its existing days, so a daily load does not
-    list years of history. Otherwise, or for a very long window, the root.
+    Only years and months that meet the window are listed, so a daily load does
+    not list years of history. Numbers may be written with or without leading
+    zeros. Without bounds it is the root.
     """
-    if start is None or end is None or (end - start).days > MAX_LISTED_DAYS:
+    if start is None and end is None:
         return [root]
-    days = [start + dt.timedelta(days=n) for n in range((end - start).days)]
-    paths = [ndjson.day_path(root, d) for d in days]
-    return [path for path in paths if files.exists(spark, path)]
+    first = start or dt.date.min
+    last = (end or dt.date.max) - dt.timedelta(days=1)
+    if last < first:
+        return []
+    paths = []
+    for year, in_year in files.partition_numbers(spark, root, "year"):
+        if not first.year <= year <= last.year:
+            continue
+        for month, in_month in files.partition_numbers(spark, in_year, "month"):
+            if not (first.year, first.month) <= (year, month) <= (last.year, last.month):
+                continue
+            paths += [
+                path
+                for day, path in files.partition_numbers(spark, in_month, "day")
+                if (first.year, first.month, first.day)
+                <= (year, month, day)
+                <= (last.year, last.month, last.day)
+            ]
+    return paths
 
 
 def with_provenance(lines: DataFrame) -> DataFrame:
@@ -69,6 +84,7 @@ def scan(
     """Lines of the JSON files below ``root`` in ``[start, end)``, or of given files."""
     if paths is None:
         paths = window_paths(spark, root, start, end)
+    paths = [files.escaped(path) for path in paths]
     if not paths:
         nothing = "cast(null as string) line, cast(null as string) source_file_name, 0L split_start"
         return spark.range(0).selectExpr(*nothing.split(", "))
@@ -76,9 +92,24 @@ def scan(
     return with_provenance(in_window(reader.text(paths), start, end))
 
 
+def _records() -> Column:
+    """The line's record as a list of no or one variant.
+
+    The parser stops after the first value of a text and ignores the rest. The
+    line is therefore parsed as the first of two items of a list, the second being
+    a hash of the line: text after the record breaks the list, ends it early or
+    adds an item, and then the hash is not where it belongs.
+    """
+    mark = F.xxhash64("line")
+    text = F.concat(F.lit("["), "line", F.lit("\n,"), mark.cast("string"), F.lit("]"))
+    listed = F.array(F.try_parse_json(text))
+    whole = F.filter(listed, lambda v: F.try_variant_get(v, "$[1]", "bigint") == mark)
+    return F.transform(whole, lambda v: F.variant_get(v, "$[0]", "variant"))
+
+
 def parse(lines: DataFrame) -> DataFrame:
-    """Adds the record as a variant; null marks a line that is not JSON."""
-    return lines.withColumn("raw_data", F.try_parse_json("line"))
+    """Adds the record as a variant; null marks a line that is not one JSON value."""
+    return lines.withColumn("raw_data", F.get(_records(), F.lit(0)))
 
 
 def accepted(lines: DataFrame) -> DataFrame:
@@ -89,5 +120,4 @@ def accepted(lines: DataFrame) -> DataFrame:
     line is then parsed twice.
     """
     rest = [c for c in lines.columns if c != "line"]
-    record = F.array_compact(F.array(F.try_parse_json("line")))
-    return lines.select(F.explode(record).alias("raw_data"), *rest)
+    return lines.select(F.explode(_records()).alias("raw_data"), *rest)

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorlake.sources import files
+
 
 class Sources:
     """Named tables behind a name-to-path map; other names go to the catalog."""
@@ -20,9 +22,28 @@ class Sources:
         return self._spark.table(name)
 
 
-def write_full(frame: DataFrame, path: str) -> None:
-    """Replaces the whole table at ``path``."""
-    frame.write.mode("overwrite").parquet(path)
+def write_full(
+    frame: DataFrame, path: str, *partitions: str, notes: Mapping[str, str] | None = None
+) -> None:
+    """Replaces the whole table at ``path``, with ``notes`` as side files by name.
+
+    The new table is written beside the old one and takes its place when it is
+    complete, so a failed job leaves the old table readable.
+    """
+    spark = frame.sparkSession
+    files.restore_directory(spark, path)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    fresh = f"{folder}/_next_{name}"
+    files.delete(spark, fresh)
+    try:
+        # The session may replace partitions only; this replaces the table.
+        writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(fresh)
+        for note, text in (notes or {}).items():
+            files.write_note(spark, f"{fresh}/{note}", text)
+        files.replace_directory(spark, fresh, path)
+    finally:
+        files.delete(spark, fresh)
 
 
 def publish_view(frame: DataFrame, name: str) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake.operators import upsert
@@ -14,13 +13,11 @@ from sensorlake.plans.bronze import BronzeStore
 from sensorlake.sources import json_lines
 
 
-def file_stream(spark: SparkSession, root: str, max_files: int = bronze.MAX_FILES) -> DataFrame:
-    """Lines of files as they appear below ``root``."""
-    reader = (
-        spark.readStream.format("text")
-        .option("pathGlobFilter", json_lines.JSON_GLOB)
-        .option("maxFilesPerTrigger", max_files)
-    )
+def file_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
+    """Lines of files as they appear below ``root``, at most ``max_files`` at a time if given."""
+    reader = spark.readStream.format("text").option("pathGlobFilter", json_lines.JSON_GLOB)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return json_lines.with_provenance(reader.load(root))
 
 
@@ -33,9 +30,9 @@ def follow(
     root: str,
     checkpoint: str,
     each_batch: Callable[[DataFrame, int], None],
-    max_files: int = bronze.MAX_FILES,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Runs over all files not seen before, in micro-batches of at most ``max_files``."""
+    """Runs over all files not seen before, in one micro-batch or several of ``max_files``."""
     return (
         file_stream(spark, root, max_files)
         .writeStream.foreachBatch(each_batch)
@@ -50,7 +47,7 @@ def to_bronze(
     root: str,
     store: BronzeStore,
     checkpoint: str,
-    max_files: int = bronze.MAX_FILES,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Loads every file once.
 
@@ -71,9 +68,9 @@ def to_silver(
     buildings: DataFrame,
     path: str,
     checkpoint: str,
-    max_files: int = bronze.MAX_FILES,
+    max_files: int | None = None,
     on_cast_error: str = "fail",
-    on_duplicate: str = "fail",
+    on_duplicate: str = "fail_matched",
 ) -> StreamingQuery:
     """Loads every file once and upserts its readings into silver.
 
@@ -85,7 +82,7 @@ def to_silver(
         session = lines.sparkSession
         label = _label(batch_id)
         bronze.land(session, lines, store, label)
-        landed = bronze.read_bronze(session, store).where(F.col("load_batch") == label)
+        landed = bronze.read_load(session, store, label)
         rows = silver.build(landed, buildings, on_cast_error=on_cast_error)
         upsert.merge_into(session, path, rows, on_duplicate=on_duplicate)
 

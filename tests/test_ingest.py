@@ -1,6 +1,7 @@
 """Loading files: bad lines, row numbers, once each, repeats after a crash."""
 
 import datetime as dt
+import glob
 import json
 import os
 
@@ -112,11 +113,76 @@ def test_stream_in_small_steps(spark, landing, store, tmp_path):
     assert (rows.count(), rows.select("load_timestamp").distinct().count()) == (5, 3)
 
 
-def test_many_files_take_several_loads(spark, landing, store):
-    assert bronze.load_new_files(spark, landing, store, max_files=2) == 5
+def test_one_call_is_one_load(spark, landing, store):
+    assert bronze.load_new_files(spark, landing, store) == 5
     rows = bronze.read_bronze(spark, store)
-    assert (rows.count(), rows.select("load_timestamp").distinct().count()) == (5, 2)
-    assert bronze.load_new_files(spark, landing, store, max_files=2) == 0
+    assert (rows.count(), rows.select("load_timestamp").distinct().count()) == (5, 1)
+    assert bronze.load_new_files(spark, landing, store) == 0
+
+
+def test_file_names_are_no_patterns(spark, tmp_path, store):
+    root = f"{tmp_path}/odd[1]"
+    for n, name in enumerate(["s_1.json", "s_[1].json", "s_{a,b}.json", "s_*.json", "s ?%20.json"]):
+        put(root, 1, name, [line(n)])
+    assert bronze.load_new_files(spark, root, store) == 5
+    assert bronze.read_file_log(spark, store).count() == 5
+    assert bronze.load_new_files(spark, root, store) == 0
+
+
+def test_text_after_a_record_is_rejected(spark, tmp_path, store):
+    good = line(1)
+    bad = [good + good, good + " x", good + "}", good + "]", good + ",1", good + ",true",
+           good + ',"z":2', good + ",true]", good + ",true,null", ",", "]", "[", ""]
+    put(f"{tmp_path}/raw", 1, "sensors_000.json", [good, *bad, "  " + good + "  ", "null", "[1,true,2]"])
+    assert bronze.load_new_files(spark, f"{tmp_path}/raw", store) == 4
+    rejected = bronze.read_quarantine(spark, store).collect()
+    assert sorted(r.source_file_row_num for r in rejected) == list(range(2, 2 + len(bad)))
+    kept = bronze.read_bronze(spark, store).selectExpr("to_json(raw_data) as j").collect()
+    assert "[1,true,2]" in {r.j for r in kept}
+
+
+def test_windows_of_any_length_follow_one_rule(spark, tmp_path):
+    root = f"{tmp_path}/raw"
+    for folder in ("year=2026/month=1/day=5", "year=2026/month=01/day=06", "year=2024/month=12/day=31"):
+        os.makedirs(f"{root}/{folder}")
+        with open(f"{root}/{folder}/a.json", "w") as out:
+            out.write(line(1) + "\n")
+    end = dt.date(2026, 1, 6)
+    for days in (1, 2, 400, 401, 4_000):
+        found = json_lines.scan(spark, root, end - dt.timedelta(days=days), end).count()
+        assert found == (2 if days == 4_000 or days >= 371 else 1), days
+    assert json_lines.scan(spark, root, None, end).count() == 2
+    assert json_lines.scan(spark, root, end, None).count() == 1
+    assert json_lines.scan(spark, root, end, end).count() == 0
+    assert json_lines.scan(spark, root).count() == 3
+
+
+def test_landing_again_replaces_all_dates(spark, tmp_path, store):
+    def lines(*days):
+        root = f"{tmp_path}/{len(days)}"
+        for day in days:
+            put(root, day, "sensors_000.json", [line(day, day)])
+        return json_lines.scan(spark, root)
+
+    assert bronze.land(spark, lines(1, 2), store, "a") == 2
+    assert bronze.land(spark, lines(1), store, "a") == 1
+    assert bronze.read_bronze(spark, store).count() == 1
+
+
+def test_vanished_file_is_noted(spark, landing, store, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(bronze, "land", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            bronze.load_new_files(spark, landing, store)
+    gone = glob.glob(f"{landing}/*/*/day=02/*.json")[0]
+    os.remove(gone)
+    put(landing, 2, "sensors_009.json", [line(n, 2) for n in range(10, 20)])
+    before = bronze.read_bronze(spark, store).count()
+    loaded = bronze.load_new_files(spark, landing, store)
+    assert loaded >= 10 and bronze.read_bronze(spark, store).count() == before + loaded
+    noted = bronze.read_file_log(spark, store).where("rows_loaded is null").collect()
+    assert [os.path.basename(r.source_file_name) for r in noted] == [os.path.basename(gone)]
+    assert bronze.load_new_files(spark, landing, store) == 0
 
 
 def test_rewritten_file_counts_as_new(spark, landing, store):

@@ -44,8 +44,12 @@ def test_fields_are_read_from_bronze_without_the_record(spark, lake):
 
 
 def test_silver_reads_only_new_loads(spark, lake):
-    text = plan(bronze.read_since(spark, lake.bronze, dt.datetime(2020, 1, 1)))
-    assert re.search(r"PartitionFilters: \[.*load_batch", text)
+    (label,) = [r[0] for r in bronze.read_bronze(spark, lake.bronze).select("load_batch").distinct().collect()]
+    assert bronze.land(spark, json_lines.scan(spark, f"{lake.root}/raw/sensors"), lake.bronze, "later") > 0
+    since = bronze.read_since(spark, lake.bronze, dt.datetime(2020, 1, 1))
+    assert {f.split("load_batch=")[1].split("/")[0] for f in since.inputFiles()} == {label, "later"}
+    only = bronze.read_load(spark, lake.bronze, label)
+    assert all(f"load_batch={label}/" in f for f in only.inputFiles())
     newer = upsert.newer_than(bronze.read_bronze(spark, lake.bronze), dt.datetime(2020, 1, 1))
     assert "GreaterThan(load_timestamp" in plan(newer)
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sensorlake import adapter, schemas
 from sensorlake.operators import enrich, upsert
 from sensorlake.operators.enrich import DuplicateKeyError
-from sensorlake.plans import bronze, silver
-from sensorlake.sources import files
+from sensorlake.plans import bronze, chain, silver
+from sensorlake.sources import files, tables
 
 
 def rows(spark, *values):
@@ -57,11 +57,9 @@ def test_upsert(base, change):
     assert content(upsert.upsert(base, change)) == WANTED
 
 
-@pytest.mark.parametrize("broadcast_keys", [0, 500_000])
-@pytest.mark.parametrize("max_dates", [0, 5_000])
-def test_merge_stored(spark, tmp_path, base, change, monkeypatch, broadcast_keys, max_dates):
-    monkeypatch.setattr(upsert, "BROADCAST_KEYS", broadcast_keys)
-    monkeypatch.setattr(upsert, "MAX_TOUCHED_DATES", max_dates)
+@pytest.mark.parametrize("key_bytes", [0, 1 << 25])
+def test_merge_stored(spark, tmp_path, base, change, monkeypatch, key_bytes):
+    monkeypatch.setattr(upsert, "BROADCAST_KEY_BYTES", key_bytes)
     path = f"{tmp_path}/t"
     upsert.merge_into(spark, path, base)
     upsert.merge_into(spark, path, change)
@@ -181,14 +179,100 @@ def test_swap_that_died_is_finished(spark, tmp_path, base, change, monkeypatch):
     assert content(upsert.read_stored(spark, path)) == sorted([*WANTED, ("g", D2, "90")])
 
 
-def test_first_build_that_died_is_redone(spark, tmp_path, base, monkeypatch):
+def died(*args, **kwargs):
+    raise RuntimeError("driver lost")
+
+
+def test_build_that_died_leaves_what_was_there(spark, tmp_path, base, monkeypatch):
     path = f"{tmp_path}/t"
     with monkeypatch.context() as patch:
-        patch.setattr(upsert, "_save_schema", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        patch.setattr(files, "replace_directory", died)
         with pytest.raises(RuntimeError):
             upsert.merge_into(spark, path, base)
-    upsert.merge_into(spark, path, base.where("reading_id = 'a'"))
-    assert upsert.read_stored(spark, path).count() == 1
+    assert not upsert.table_exists(spark, path)
+    upsert.merge_into(spark, path, base)
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "replace_directory", died)
+        with pytest.raises(RuntimeError):
+            upsert.create_table(spark, path, base.limit(1))
+    assert upsert.read_stored(spark, path).count() == 6
+    # Set aside, and the new table never came.
+    os.rename(path, f"{tmp_path}/_old_t")
+    upsert.recover(spark, path)
+    assert upsert.read_stored(spark, path).count() == 6
+
+
+def test_job_that_fails_half_way_leaves_the_old_table(spark, tmp_path, base):
+    path = f"{tmp_path}/t"
+    tables.write_full(base, path, "reading_date")
+    broken = base.withColumn("bad", F.when(F.col("reading_id") == "b", F.raise_error(F.lit("x"))))
+    with pytest.raises(Exception):
+        tables.write_full(broken, path, "reading_date")
+    assert spark.read.parquet(path).count() == 6
+    assert sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_full_replacement_ignores_the_session_mode(spark, tmp_path, base):
+    path = f"{tmp_path}/t"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        upsert.create_table(spark, path, base)
+        upsert.create_table(spark, path, base.where(F.col("reading_date") == F.lit(D1)))
+        assert {str(r.reading_date) for r in upsert.read_stored(spark, path).collect()} == {D1}
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_broken_note_does_not_block(spark, tmp_path, base):
+    path = f"{tmp_path}/t"
+    upsert.merge_into(spark, path, base)
+    open(f"{path}/_pending_swap.json", "w").close()
+    upsert.merge_into(spark, path, rows(spark, ("a", D1, 10, 2)))
+    assert upsert.read_stored(spark, path).count() == 6
+
+
+def test_policies_of_a_build(spark, tmp_path, base):
+    path = f"{tmp_path}/t"
+    newer = rows(spark, ("a", D2, 99, 5))
+    both = base.unionByName(newer)
+    upsert.build_table(spark, path, both)
+    assert upsert.read_stored(spark, path).where("reading_id = 'a'").count() == 2
+    with pytest.raises(DuplicateKeyError):
+        upsert.build_table(spark, path, both, on_duplicate="fail")
+    upsert.build_table(spark, path, both, on_duplicate="latest")
+    assert content(upsert.read_stored(spark, path).where("reading_id = 'a'")) == [("a", D2, "99")]
+    with pytest.raises(ValueError):
+        upsert.build_table(spark, path, both, on_duplicate="first")
+
+
+def test_chain_with_two_versions_of_an_id(spark, tmp_path):
+    """A corrected id in later loads neither stops the chain nor returns by a rebuild."""
+    lake = chain.Lake(f"{tmp_path}/lake")
+    folder = f"{tmp_path}/raw/year=2026/month=01/day=01"
+    os.makedirs(folder)
+    dimension = schemas.buildings(spark)
+
+    def put(name, humidity):
+        with open(f"{folder}/{name}.json", "w") as out:
+            out.write(
+                '{"reading_id": "r1", "building_id": "BLDG_001", "timestamp": '
+                f'"2026-01-01T08:00:00Z", "humidity_pct": {humidity}}}\n'
+            )
+
+    def run(**options):
+        chain.run(spark, f"{tmp_path}/raw", lake, dimension, check=False, **options)
+        return [r.humidity_pct for r in silver.read(spark, lake.silver).collect()]
+
+    put("a", 40)
+    assert run() == [40]
+    for name, humidity in (("b", 41), ("c", 42)):
+        put(name, humidity)
+        bronze.load_new_files(spark, f"{tmp_path}/raw", lake.bronze)
+    with pytest.raises(DuplicateKeyError):
+        run()
+    assert run(on_duplicate="latest") == [42]
+    assert run(full=True, on_duplicate="latest") == [42]
+    assert sorted(run(full=True)) == [40, 41, 42]
 
 
 def test_two_batches_equal_one_build(spark, sf_dir, tmp_path):
