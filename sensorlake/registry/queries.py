@@ -257,7 +257,8 @@ def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.readings(spark, sf_dir).agg(F.max("load_timestamp").alias("load_timestamp"))
+    mark = upsert.high_water_mark(adapter.readings(spark, sf_dir))
+    return spark.range(1).select(upsert.ntz_literal(mark).alias("load_timestamp"))
 
 
 def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,6 +408,22 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assertions.run_suite(_silver(spark, sf_dir))
 
 
+def dq_suite_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every assertion fails: repeated ids, lost buildings, unknown flags and states."""
+    sound = _silver(spark, sf_dir)
+    humidity = F.col("humidity_pct")
+    broken = sound.withColumns(
+        {
+            "building_id": F.when(F.col("compressor_status") != "ERROR", F.col("building_id")),
+            "quality_flag": F.when(humidity > 60, F.concat(F.lit("FLAG_"), "zone_id")).otherwise(
+                F.col("quality_flag")
+            ),
+            "compressor_status": F.when(humidity < 50, "OFF").otherwise(F.col("compressor_status")),
+        }
+    )
+    return assertions.run_suite(broken.unionByName(sound.where(humidity == 55)))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_extract": bronze_extract,
     "tolerant_casts": tolerant_casts,
@@ -447,4 +464,5 @@ QUERIES: dict[str, Query] = {
     "dq_accepted_flag": dq_accepted_flag,
     "dq_accepted_compressor": dq_accepted_compressor,
     "dq_suite": dq_suite,
+    "dq_suite_failing": dq_suite_failing,
 }
