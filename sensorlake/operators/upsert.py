@@ -176,6 +176,7 @@ def merge_into(
     key: str = "reading_id",
     partition: str = "reading_date",
     on_duplicate: str = "fail",
+    search_days: int | None = None,
 ) -> None:
     """Upserts a batch into a parquet table partitioned by date.
 
@@ -186,6 +187,11 @@ def merge_into(
     "latest" keeps its newest row, and "fail_matched" raises only if the key is
     stored already and otherwise adds all its rows, as a merge statement does.
 
+    ``search_days`` says how many days before the first and after the last date of
+    the batch an older row of the same key can lie. Other dates are then not
+    opened. Without it the keys of all dates are searched, which on a long history
+    costs more than all else.
+
     One writer at a time. A run that died is finished by the next call, and
     merging a batch again changes nothing.
     """
@@ -199,7 +205,7 @@ def merge_into(
 
     work = scratch(spark, "merge")
     try:
-        _merge(spark, path, batch, key, partition, on_duplicate, work)
+        _merge(spark, path, batch, key, partition, on_duplicate, search_days, work)
     finally:
         # An announced swap still needs its folder; the call that completes it removes it.
         if files.read_note(spark, f"{path}/{_PENDING_NOTE}") is None:
@@ -213,17 +219,19 @@ def _merge(
     key: str,
     partition: str,
     on_duplicate: str,
+    search_days: int | None,
     work: str,
 ) -> None:
     # The batch is used several times below, so it is stored once.
     batch = _store(spark, batch, f"{work}/batch")
     target = read_stored(spark, path)
+    searched = target if search_days is None else near_dates(target, batch, partition, search_days)
     if on_duplicate == "latest":
         batch = _store(spark, latest_per_key(batch, key), f"{work}/latest")
     else:
         refused = duplicate_keys(batch, key)
         if on_duplicate == "fail_matched":
-            refused = refused.join(target.select(key), key, "left_semi")
+            refused = refused.join(searched.select(key), key, "left_semi")
         if not refused.isEmpty():
             raise DuplicateKeyError(f"{key} occurs more than once in the batch")
 
@@ -233,7 +241,7 @@ def _merge(
     small = key_bytes <= BROADCAST_KEY_BYTES
     dates = None
     if not _needs_rewrite(target.schema, batch.schema, dropped):
-        dates = _touched_dates(target, batch, F.broadcast(keys) if small else keys, key, partition)
+        dates = _touched_dates(searched, batch, F.broadcast(keys) if small else keys, key, partition)
     touched = target if dates is None else target.where(_in_dates(partition, dates))
     kept = without_keys(sync_columns(touched, batch.schema), keys, key, broadcast=small)
     merged = kept.unionByName(batch)
@@ -257,6 +265,16 @@ def _merge(
     recover(spark, path)
 
 
+def near_dates(target: DataFrame, batch: DataFrame, partition: str, days: int) -> DataFrame:
+    """Rows of the target within ``days`` of the dates of a batch, or without a date."""
+    first, last = batch.agg(F.min(partition), F.max(partition)).first()
+    column = F.col(partition)
+    if first is None:
+        return target.where(column.isNull())
+    margin = dt.timedelta(days=days)
+    return target.where(column.between(first - margin, last + margin) | column.isNull())
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """Finishes a swap that was announced but not completed; safe to repeat."""
     files.restore_directory(spark, path)

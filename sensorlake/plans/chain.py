@@ -56,18 +56,20 @@ def run(
     full: bool = False,
     on_cast_error: str = "fail",
     on_duplicate: str = "fail_matched",
+    search_days: int | None = None,
 ) -> int:
     """Loads new files of the window and brings all tables up to date.
 
     Returns the rows loaded; raises at the end if an assertion has failing rows.
     Every step can be repeated after a failure: files are loaded once, merging
     again changes nothing, gold is replaced. ``full`` rebuilds silver from all of
-    bronze; the two policies are those of ``silver.refresh``.
+    bronze; the policies and ``search_days`` are those of ``silver.refresh``.
     """
     loaded = bronze.load_new_files(spark, landing, lake.bronze, start, end)
     with sized_shuffles(spark, files.stored_bytes(spark, lake.bronze.readings)):
         silver.refresh(
-            spark, lake.bronze, buildings, lake.silver, full, on_cast_error, on_duplicate
+            spark, lake.bronze, buildings, lake.silver, full, on_cast_error, on_duplicate,
+            search_days,
         )
         build_gold(spark, lake)
         if check:

@@ -66,6 +66,7 @@ def refresh(
     full: bool = False,
     on_cast_error: str = "fail",
     on_duplicate: str = "fail_matched",
+    search_days: int | None = None,
 ) -> None:
     """Brings the stored silver table up to date with bronze.
 
@@ -76,6 +77,7 @@ def refresh(
     ``on_duplicate`` holds for both: "latest" keeps the newest row of a repeated
     id, "fail" raises, and "fail_matched" raises only for ids stored already, so
     a build keeps all rows and the uniqueness assertion reports them.
+    ``search_days`` bounds how far from a batch's dates its older versions can lie.
     """
     upsert.check_policy(on_duplicate)
     upsert.recover(spark, path)
@@ -86,7 +88,9 @@ def refresh(
     if mark is None:
         upsert.build_table(spark, path, rows, on_duplicate=on_duplicate)
     else:
-        upsert.merge_into(spark, path, rows, on_duplicate=on_duplicate)
+        upsert.merge_into(
+            spark, path, rows, on_duplicate=on_duplicate, search_days=search_days
+        )
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -79,6 +79,21 @@ def test_only_touched_dates_are_rewritten(spark, tmp_path, base):
     assert [d for d in before if before[d] != after[d]] == [f"reading_date={D1}"]
 
 
+def test_search_is_bounded_by_days(spark, tmp_path, base):
+    path = f"{tmp_path}/t"
+    upsert.merge_into(spark, path, base)
+    batch = rows(spark, ("c", D3, 30, 2), ("d", D1, 50, 2), (None, None, 7, 2))
+    near = upsert.near_dates(upsert.read_stored(spark, path), rows(spark, ("x", D3, 1, 2)), "reading_date", 1)
+    assert "PartitionFilters: [" in near._jdf.queryExecution().executedPlan().toString()
+    assert D1 not in {str(r.reading_date) for r in near.collect()}
+    undated = upsert.near_dates(upsert.read_stored(spark, path), batch.where("reading_date is null"), "reading_date", 1)
+    assert all(r.reading_date is None for r in undated.collect())
+    upsert.merge_into(spark, path, batch, search_days=3)
+    upsert.create_table(spark, f"{tmp_path}/u", base)
+    upsert.merge_into(spark, f"{tmp_path}/u", batch)
+    assert content(upsert.read_stored(spark, path)) == content(upsert.read_stored(spark, f"{tmp_path}/u"))
+
+
 def test_date_left_without_rows_disappears(spark, tmp_path, base):
     path = f"{tmp_path}/t"
     upsert.merge_into(spark, path, base)
