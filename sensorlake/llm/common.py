@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.session import scratch
+from sensorlake.sources import files
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -36,37 +33,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def per_document(
-    function: Callable[[object, str], list[tuple]], schema: pa.Schema, columns: list[str]
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` function that makes rows of each row, in batches of bounded size.
-
-    ``function`` takes the values of ``columns`` and returns a tuple of equally
-    long sequences, one for each field of ``schema``.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made: list[tuple] = []
-            size = 0
-            for values in zip(*(batch.column(c).to_pylist() for c in columns)):
-                made.append(function(*values))
-                size += len(made[-1][0])
-                if size >= 100_000:
-                    yield _joined(made, schema)
-                    made, size = [], 0
-            if size:
-                yield _joined(made, schema)
-
-    return run
-
-
-def _joined(made: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = []
-    for position, field in enumerate(schema):
-        parts = [row[position] for row in made if len(row[position])]
-        if all(isinstance(part, np.ndarray) for part in parts):
-            columns.append(pa.array(np.concatenate(parts), type=field.type))
-        else:
-            columns.append(pa.array([value for part in parts for value in part], type=field.type))
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` made and that nothing will read again."""
+    for table in tables:
+        for folder in {path.rpartition("/")[0] for path in table.inputFiles()}:
+            files.delete(table.sparkSession, folder)

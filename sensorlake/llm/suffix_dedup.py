@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import body, materialize
+from sensorlake.llm.common import body, discard, materialize
 
 #: Bytes of the grams that name a window.
 GRAM = 32
@@ -188,10 +188,14 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 class Block:
-    """Suffixes of a few texts, sorted far enough to tell windows of ``length`` bytes apart."""
+    """Suffixes of a few texts, sorted far enough to tell windows of ``length`` bytes apart.
 
-    def __init__(self, texts: list[bytes], anchors: np.ndarray, length: int):
+    Texts of different ``names`` have no window in common and are kept apart.
+    """
+
+    def __init__(self, texts: list[bytes], anchors: np.ndarray, names: np.ndarray, length: int):
         self.length = length
+        self.names = names
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         # Texts are padded so that their anchors share a residue: suffixes that
         # agree on many bytes then mostly meet the sample at the same offset.
@@ -260,23 +264,38 @@ class Block:
 
     def _sorted(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = self.starts[windows]
-        order = np.lexsort((self.words[at + 8], self.words[at]))
-        windows, at = windows[order], at[order]
+        name = self.names[self.text_of[windows]]
+        order = np.lexsort((self.words[at + 8], self.words[at], name))
+        windows, at, name = windows[order], at[order], name[order]
         first, second = self.words[at], self.words[at + 8]
         new = np.ones(len(at), bool)
-        new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+        new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (name[1:] != name[:-1])
+        # Ties of different residues take longer to resolve: most of them part
+        # within some more bytes.
+        for offset in range(16, min(64, self.length - 7), 8):
+            heads = np.flatnonzero(new)
+            residue = at % PERIOD
+            mixed = np.minimum.reduceat(residue, heads) != np.maximum.reduceat(residue, heads)
+            tie = np.cumsum(new) - 1
+            some = np.flatnonzero(mixed[tie])
+            if not len(some):
+                break
+            word = self.words[at[some] + offset]
+            order = np.lexsort((word, tie[some]))
+            word = word[order]
+            windows[some], at[some] = windows[some[order]], at[some[order]]
+            new[some[1:][word[1:] != word[:-1]]] = True
         tie = np.cumsum(new)
         residue = at % PERIOD
         own = self.ranks[at + self.offsets[residue, residue]]
         order = np.argsort(tie << np.int64(32) | own)
         windows, at, residue = windows[order], at[order], residue[order]
-        # Ties whose members have different residues are ordered pair of residues by pair.
-        other = np.zeros(len(at), bool)
-        other[1:] = (residue[1:] != residue[:-1]) & (tie[1:] == tie[:-1])
-        for number in np.unique(tie[other]).tolist():
-            begin, end = np.searchsorted(tie, [number, number + 1])
-            inside = begin + self._merged(at[begin:end], residue[begin:end])
-            windows[begin:end], at[begin:end] = windows[inside], at[inside]
+        heads = np.flatnonzero(new)
+        mixed = np.minimum.reduceat(residue, heads) != np.maximum.reduceat(residue, heads)
+        some = np.flatnonzero(mixed[tie - 1])
+        if len(some):
+            order = some[self._merged(at[some], residue[some], tie[some])]
+            windows[some], at[some] = windows[order], at[order]
         same = ~new
         pairs = np.flatnonzero(same)
         for offset in (*range(16, self.length - 7, 8), self.length - 8):
@@ -285,16 +304,22 @@ class Block:
         border[pairs] = False
         return windows, border
 
-    def _merged(self, at: np.ndarray, residue: np.ndarray) -> np.ndarray:
-        """The order of suffixes that agree on their first bytes."""
+    def _merged(self, at: np.ndarray, residue: np.ndarray, tie: np.ndarray) -> np.ndarray:
+        """The order of suffixes in ties whose members have different residues.
+
+        A suffix's place in its tie is the number of smaller ones, counted for one
+        residue after another at the offset that takes both into the sample.
+        """
         smaller = np.zeros(len(at), np.int64)
         groups = {r: np.flatnonzero(residue == r) for r in np.unique(residue).tolist()}
+        tie = tie << np.int64(32)
         for r, mine in groups.items():
             for q, theirs in groups.items():
                 offset = self.offsets[r, q]
-                known = np.sort(self.ranks[at[theirs] + offset])
-                smaller[mine] += np.searchsorted(known, self.ranks[at[mine] + offset])
-        return np.argsort(smaller, kind="stable")
+                known = np.sort(tie[theirs] | self.ranks[at[theirs] + offset])
+                below = np.searchsorted(known, tie[mine] | self.ranks[at[mine] + offset])
+                smaller[mine] += below - np.searchsorted(known, tie[mine])
+        return np.lexsort((smaller, tie))
 
 
 def _common_offsets() -> np.ndarray:
@@ -323,29 +348,30 @@ _FOUND = pa.schema(
 
 
 def repeated_windows(
-    keys: list[tuple], texts: list[bytes], length: int
+    keys: list[tuple], texts: list[bytes], names: list[int], length: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, Block | None, np.ndarray]:
     """Runs of windows that also start earlier, as ``text, offset, n``.
 
     ``keys`` are the places of the texts, in an order that tells earlier from
-    later. Texts at the same place are the same text. Also returns the block and
+    later; only texts of one name are compared. Texts at the same place are the
+    same text. Also returns the block and
     the windows in it that stay, by text number.
     """
-    order = sorted(range(len(texts)), key=keys.__getitem__)
-    seen: dict[bytes, int] = {}
+    order = sorted(range(len(texts)), key=lambda i: (names[i], keys[i]))
+    seen: dict[tuple[int, bytes], int] = {}
     whole: list[int] = []
     last = None
     for i in order:
-        if keys[i] == last:
+        if (names[i], keys[i]) == last:
             continue
-        last = keys[i]
-        if seen.setdefault(texts[i], i) != i:
+        last = names[i], keys[i]
+        if seen.setdefault((names[i], texts[i]), i) != i:
             whole.append(i)
-    distinct = list(seen.values())  # earliest first
+    distinct = list(seen.values())  # of each name the earliest first
     counts = np.array([len(texts[i]) - length + 1 for i in whole], np.int64)
     runs = [(np.array(whole, np.int64), np.zeros(len(whole), np.int64), counts)]
     some = [texts[i] for i in distinct]
-    block = Block(some, _anchors(some), length)
+    block = Block(some, _anchors(some), np.array([names[i] for i in distinct]), length)
     stays = np.ones(len(block.starts), bool)
     for windows, border in block.classes():
         heads = np.flatnonzero(border)
@@ -402,7 +428,8 @@ def _sorter(length: int):
 
     def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         keys = [(row[2] is not None, row[2] or 0, row[3], row[4]) for row in rows]
-        text, offset, n, _, kept = repeated_windows(keys, [row[5] for row in rows], length)
+        texts, names = [row[5] for row in rows], [row[0] for row in rows]
+        text, offset, n, _, kept = repeated_windows(keys, texts, names, length)
         out = [
             (rows[i][2], rows[i][3], rows[i][4] + o, k, None)
             for i, o, k in zip(text.tolist(), offset.tolist(), n.tolist())
@@ -450,9 +477,11 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
         .agg(F.collect_list("one").alias("runs"))
     )
     runs = materialize(runs, "suffix-runs")
+    discard(named, shared)
     schema = "bucket long, salted boolean, doc_id long, doc_key long, at long, piece binary"
     pieces = docs.join(runs, "doc_key").select("doc_id", "doc_key", "body", "runs")
     found = materialize(_sort_buckets(pieces.mapInArrow(_cutter(length), schema), length), "suffix-found")
+    discard(runs)
     again = found.where("window is not null").select(
         F.xxhash64("window").alias("bucket"),
         F.lit(False).alias("salted"),

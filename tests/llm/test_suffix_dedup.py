@@ -74,7 +74,7 @@ def test_sorting_groups_equal_windows():
     rng = np.random.default_rng(2)
     texts = ["".join(rng.choice(list("ab"), n)).encode() for n in (300, 200, 500)]
     texts += [texts[0][37:180], texts[2][3:200], b"ab" * 150, b"aab" * 60]
-    block = suffix_dedup.Block(texts, np.zeros(len(texts), np.int64) + 3, 40)
+    block = suffix_dedup.Block(texts, np.zeros(len(texts), np.int64) + 3, np.zeros(len(texts), np.int64), 40)
     windows = {
         int(w): texts[block.text_of[w]][o : o + 40]
         for w, o in enumerate(block.starts - block.begins[block.text_of])
