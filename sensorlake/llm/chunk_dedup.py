@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import body, materialize
+from sensorlake.llm.common import body, discard, materialize
 
 #: Fewest bytes of a chunk, but for the last of a text; also what the hash looks at.
 LEAST = 32
@@ -137,6 +137,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     # Stored, so that the joins can be split where a chunk is very frequent.
     shared = materialize(shared.drop("times"), "chunks-repeated")
     met = materialize(chunks.join(shared.hint("shuffle_hash"), name), "chunks-shared")
+    discard(chunks, shared)
     place = F.struct(
         F.col("doc_id").isNotNull().alias("named"), "doc_id", "doc_key", "run"
     )
