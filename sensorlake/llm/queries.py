@@ -159,6 +159,41 @@ ORACLES = {
             select doc_id, unnest(range(1, copies::bigint + 1)) as copy from counts
         ) c using (doc_id)
     """,
+    "op3_suffix_dedup": """
+        with docs as (
+            select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+        ),
+        windows as (
+            select doc_id, place, substr(h, 2 * place + 1, 200) as w
+            from (select doc_id, h, unnest(range(0, length(h) // 2 - 99)) as place from docs)
+        ),
+        later as (
+            select doc_id, place from windows
+            qualify row_number() over (partition by w order by doc_id, place) > 1
+        ),
+        marked as (
+            select *, coalesce(place > lag(place) over same + 100, true) as opens
+            from later window same as (partition by doc_id order by place)
+        ),
+        numbered as (
+            select *, sum(opens::int) over (partition by doc_id order by place) as span from marked
+        ),
+        spans as (
+            select doc_id, min(place) as b, max(place) + 100 as e from numbered group by doc_id, span
+        ),
+        placed as (
+            select *, coalesce(lag(e) over (partition by doc_id order by b), 0) as last from spans
+        ),
+        removed as (
+            select doc_id, sum(e - b)::bigint as n_removed, count(*) as n_spans, max(e) as last,
+                string_agg(substr(h, 2 * p.last + 1, 2 * (b - p.last)), '' order by b) as kept
+            from placed p join docs using (doc_id) group by doc_id
+        )
+        select doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed,
+            coalesce(n_spans, 0) as n_spans,
+            sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+        from docs left join removed using (doc_id)
+    """,
     "op5_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
             doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
