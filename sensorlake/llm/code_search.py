@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import materialize
+from sensorlake.llm.common import hashed_sample, materialize
 
 #: Codes whose distances give each query its first bound.
 SAMPLE = 2_048
@@ -94,7 +94,7 @@ def nearest(
         "codes-distinct",
     )
     asked = materialize(queries.select(F.col("code").alias("query")).distinct(), "codes-asked")
-    sample = index.orderBy(F.xxhash64("code")).limit(SAMPLE)
+    sample = hashed_sample(index, "code", SAMPLE)
     first = _first_bounds(asked, sample, k)
     bounds = materialize(first.withColumn("bound", F.least("bound", F.lit(bits))), "codes-bounds")
     keyed = index.select(

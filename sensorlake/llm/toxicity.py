@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import body, materialize
+from sensorlake.llm.common import body, hashed_sample, materialize
 
 #: Labelled rows that lexicon, trees and calibration are fitted on, at most.
 SAMPLE = 20_000
@@ -52,6 +52,8 @@ SECOND_PERSON = frozenset(
 )
 _WORD = re.compile(r"\w+")
 _MASKED = re.compile(r"[^\W_]+(?:[@$!*#.\-_0-9]+[^\W_]+)+")
+# Quick to look for; without a match there is no masked or shouted word.
+_MASK, _SHOUT = re.compile(r"[@$!*#.\-_0-9][^\W_]"), re.compile(r"[A-Z]{3}")
 _RUN = re.compile(r"[!?*#$%&@]{2,}")
 _SPELLING = str.maketrans("013457@$!", "oieastasi")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -130,14 +132,17 @@ class Lexicon:
         near = 0.0
         if listed and second:
             near = _nearness(words, listed)
-        masked = _MASKED.findall(text) if _MASKED.search(text) else []
+        masked = _MASKED.findall(text) if _MASK.search(text) else []
         hidden = sum(
             1 for token in masked if token.lower() not in listed and self.entries.get(plain_spelling(token))
         )
         size = max(1, len(text))
         letters = max(1, sum(map(len, words)))
-        upper = sum(1 for a, b in zip(text, lower) if a != b) if text != lower else 0
-        shouted = sum(1 for w in _WORD.findall(text) if len(w) > 2 and w.isupper()) if upper > 2 else 0
+        data = np.frombuffer(text.encode(), np.uint8)
+        upper = np.count_nonzero((data >= 65) & (data <= 90))
+        shouted = 0
+        if upper > 2 and _SHOUT.search(text):
+            shouted = sum(1 for w in _WORD.findall(text) if len(w) > 2 and w.isupper())
         signs = sum(map(text.count, "!?"))
         runs = len(_RUN.findall(text))
         return [
@@ -275,10 +280,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, label_col: str = "
         .groupBy("doc_id")
         .agg((F.max(label_col) > 0).cast("int").alias("label"))
         .where(training)
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE)
     )
-    known = materialize(known, "toxic-labels")
+    known = materialize(hashed_sample(known, "doc_id", SAMPLE), "toxic-labels")
     # At most SAMPLE rows of two numbers.
     texts = docs.select("doc_id", body("text").alias("body")).join(F.broadcast(known), "doc_id")
     texts = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10)))
