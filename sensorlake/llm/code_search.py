@@ -116,7 +116,9 @@ def nearest(
         )
         distance = hamming("query", "code")
         found = (
-            probes.join(keyed, ["segment", "value"])
+            # The planner takes exploded probes for fewer than they are; neither
+            # side has a bound, so neither is broadcast.
+            probes.join(keyed.hint("merge"), ["segment", "value"])
             .where(distance <= F.col("bound"))
             .select("query", "code", "least_id", "held", distance.alias("distance"))
         )
