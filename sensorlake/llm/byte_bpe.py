@@ -31,7 +31,7 @@ from sensorlake.llm.common import body
 #: Bytes are written as the letters from this code point on; none is a space.
 FIRST_LETTER = 0x100
 #: Distinct pre-tokens whose ids a task keeps at hand.
-CACHED = 400_000
+CACHED = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -71,24 +71,30 @@ def serialized_model(ranks: dict[bytes, int]) -> bytes:
     return model.SerializeToString()
 
 
+def _pieces(model: bytes):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=model)
+
+
+def bytes_of_ids(pieces) -> list[bytes]:
+    """The letters of each piece back to its bytes; the unknown piece never occurs in ids."""
+    spelled = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
+    spelled[pieces.unk_id()] = ""
+    return [bytes(ord(c) - FIRST_LETTER for c in piece) for piece in spelled]
+
+
 class Codec:
     """Encodes and decodes in one process."""
 
     def __init__(self, model: bytes, pattern: str):
         import regex
-        import sentencepiece
 
-        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.pieces = _pieces(model)
         self.split = regex.compile(pattern).findall
-        self.unknown = self.pieces.unk_id()
-        spelled = (self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size()))
-        # The letters of a piece back to its bytes; the unknown piece never occurs in ids.
-        self.bytes_of = [
-            b"" if i == self.unknown else bytes(ord(c) - FIRST_LETTER for c in piece)
-            for i, piece in enumerate(spelled)
-        ]
+        self.bytes_of = bytes_of_ids(self.pieces)
         # A pre-token that is a token is that token, even where merges would not lead to it.
-        self.whole = {token: (i,) for i, token in enumerate(self.bytes_of) if i != self.unknown}
+        self.whole = {token: (i,) for i, token in enumerate(self.bytes_of) if token}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
@@ -108,11 +114,17 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _codec(model: bytes, pattern: str) -> Codec:
     return Codec(model, pattern)
 
 
+@lru_cache(maxsize=1)
+def _table(model: bytes) -> list[bytes]:
+    """All that decoding needs: a task that decodes holds no model."""
+    return bytes_of_ids(_pieces(model))
+
+
 class ByteBpe:
     """The encoder and decoder as columns.
 
@@ -137,8 +149,8 @@ class ByteBpe:
 
         @F.arrow_udf(T.BinaryType())
         def decoded(ids: pa.Array) -> pa.Array:
-            codec = _codec(model.value, pattern)
-            return pa.array([codec.decode(x) for x in _lists(ids)], pa.binary())
+            get = _table(model.value).__getitem__
+            return pa.array([b"".join(map(get, x)) for x in _lists(ids)], pa.binary())
 
         # Marked so that the planner does not run the encoder once for each use of its ids.
         self._encoded, self._decoded = encoded.asNondeterministic(), decoded
@@ -152,7 +164,7 @@ class ByteBpe:
         return self._decoded(F.col(ids) if isinstance(ids, str) else ids)
 
 
-def _slices(texts: pa.Array, most: int = 2_000_000):
+def _slices(texts: pa.Array, most: int = 500_000):
     """Ranges of rows with a bounded number of bytes, or one row."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     begin = held = 0

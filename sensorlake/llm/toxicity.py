@@ -103,7 +103,7 @@ class Lexicon:
             get = self.entries.get
             stem = max((get(f"{word[:n]}*", 0.0) for n in STEMS if len(word) > n), default=0.0)
             got = get(word, 0.0), stem
-            if len(self.known) > 500_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             self.known[word] = got
         return got
