@@ -5,9 +5,12 @@ both are anchors, their longest increasing run is kept, and gaps are aligned in
 turn. Blocks of aligned lines that hold a shared rare line go from the later
 document.
 
-Each rare line pairs a document with the first document that has it, not with all
-others, so pairs grow with the lines. Only line hashes travel; texts are read once
-more at the end. Of equal texts the first stands for all, and the others, aligned
+Each rare line pairs a document with the first document that has it. Where that
+leaves the line in place, the document meets the next earliest ones that have it, in
+rounds, each four times as long, until the line goes or no earlier document is left:
+the lines that go are those that go when all pairs are aligned, but most documents
+meet one other. (With a limit given for rare lines only the first round is made.)
+Only line hashes travel; texts are read once more at the end. Of equal texts the first stands for all, and the others, aligned
 with it from end to end, lose every line.
 
 Defined cases: a null text counts as empty; blank lines are never rare and go only
@@ -24,7 +27,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pyspark.sql.types as T
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.llm.common import body, materialize
@@ -102,7 +105,89 @@ def _aligned(a: pa.Array, b: pa.Array, rare: pa.Array) -> pa.Array:
     return pa.array(made, pa.list_(pa.int32()))
 
 
-def repeated_lines(rows: DataFrame, most_documents: int) -> DataFrame:
+@F.arrow_udf(T.ArrayType(T.LongType(), False))
+def _staying(lines: pa.Array, gone: pa.Array, asked: pa.Array) -> pa.Array:
+    """The lines asked for that are left somewhere once others are gone."""
+    made = []
+    for x, y, z in zip(lines, gone, asked):
+        away = set(y.as_py())
+        left = {line for n, line in enumerate(x.as_py()) if n not in away}
+        made.append([line for line in z.as_py() if line in left])
+    return pa.array(made, pa.list_(pa.int64()))
+
+
+def _ranked(holders: DataFrame) -> DataFrame:
+    """``line, place, digest, rank``: the documents of each line numbered in order.
+
+    By a global sort, so a line in very many documents is cut into several tasks.
+    """
+    part, at = F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
+    ordered = materialize(
+        holders.sort("line", "place", "digest").select("line", "place", "digest", part, at), "lines-ordered"
+    )
+    before = Window.partitionBy("line").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        ordered.groupBy("line", "part")
+        .agg(F.min("at").alias("begin"), F.count(F.lit(1)).alias("n"))
+        .withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    )
+    rank = (F.col("at") - F.col("begin") + F.col("skip")).alias("rank")
+    return materialize(
+        ordered.join(parts, ["line", "part"]).select("line", "place", "digest", rank), "lines-ranked"
+    )
+
+
+def _later_rounds(texts: DataFrame, holders: DataFrame, found: DataFrame) -> DataFrame:
+    """All that is ``found``, once lines left by their first holder have met the others."""
+    empty = F.array().cast("array<int>")
+
+    def staying(asked: DataFrame) -> DataFrame:
+        away = found.groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+        left = _staying("lines", F.coalesce("gone", empty), "asked")
+        return (
+            asked.groupBy("digest")
+            .agg(F.collect_list("line").alias("asked"))
+            .join(texts.select("digest", "lines"), "digest")
+            .join(away, "digest", "left")
+            .select("digest", F.explode(left).alias("line"))
+        )
+
+    open_lines = materialize(staying(holders.where("digest != first.digest")), "lines-open")
+    ranked = _ranked(holders.join(open_lines.select("line").distinct(), "line", "left_semi"))
+    open_lines = ranked.join(open_lines, ["line", "digest"], "left_semi")
+    low, high = 1, 4
+    while True:
+        open_lines = materialize(open_lines.where(F.col("rank") > low), "lines-open")
+        if open_lines.isEmpty():
+            return found
+        earlier = ranked.where(F.col("rank").between(low, high - 1)).select(
+            "line", F.col("digest").alias("a_digest"), F.col("rank").alias("a_rank")
+        )
+        pairs = (
+            open_lines.join(earlier, "line")
+            .where(F.col("rank") > F.col("a_rank"))
+            .groupBy("a_digest", "digest")
+            .agg(F.collect_list("line").alias("rare"))
+        )
+        found = found.union(materialize(_align(texts, materialize(pairs, "lines-pairs")), "lines-aligned"))
+        open_lines = open_lines.join(staying(open_lines), ["line", "digest"], "left_semi")
+        low, high = high, 4 * high
+
+
+def _align(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``digest, a_place, gone`` of the pairs in which something aligned goes."""
+    earlier = texts.select(
+        F.col("digest").alias("a_digest"), F.col("place").alias("a_place"), F.col("lines").alias("a")
+    )
+    return (
+        pairs.join(earlier, "a_digest")
+        .join(texts.select("digest", F.col("lines").alias("b")), "digest")
+        .select("digest", "a_place", _aligned("a", "b", "rare").alias("gone"))
+        .where(F.size("gone") > 0)
+    )
+
+
+def repeated_lines(rows: DataFrame, most_documents: int | None) -> DataFrame:
     """``digest, first, gone, partners`` for each distinct text.
 
     ``first`` is the place of the first document with that text, ``gone`` the
@@ -127,40 +212,38 @@ def repeated_lines(rows: DataFrame, most_documents: int) -> DataFrame:
     rare = (
         held.groupBy("line")
         .agg(F.count(F.lit(1)).alias("documents"), F.min(who).alias("first"))
-        .where(F.col("documents").between(2, most_documents))
+        .where(F.col("documents").between(2, MOST_DOCUMENTS if most_documents is None else most_documents))
     )
     rare = materialize(rare, "lines-rare")
+    holders = held.join(rare, "line").drop("documents")
+    if most_documents is None:
+        holders = materialize(holders, "lines-holders")
     pairs = (
-        held.join(rare, "line")
-        .where(F.col("digest") != F.col("first.digest"))
+        holders.where(F.col("digest") != F.col("first.digest"))
         .groupBy(F.col("first.digest").alias("a_digest"), "digest")
         .agg(F.collect_list("line").alias("rare"))
     )
-    pairs = materialize(pairs, "lines-pairs")
-    earlier = texts.select(
-        F.col("digest").alias("a_digest"), F.col("place").alias("a_place"), F.col("lines").alias("a")
-    )
-    aligned = (
-        pairs.join(earlier, "a_digest")
-        .join(texts.select("digest", F.col("lines").alias("b")), "digest")
-        .select("digest", "a_place", _aligned("a", "b", "rare").alias("gone"))
-        .where(F.size("gone") > 0)
-        .groupBy("digest")
-        .agg(
-            F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"),
-            F.array_sort(F.collect_set("a_place")).alias("partners"),
-        )
+    found = _align(texts, materialize(pairs, "lines-pairs"))
+    if most_documents is None:
+        found = _later_rounds(texts, holders, materialize(found, "lines-aligned"))
+    aligned = found.groupBy("digest").agg(
+        F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"),
+        F.array_sort(F.collect_set("a_place")).alias("partners"),
     )
     return texts.select("digest", F.col("place").alias("first")).join(aligned, "digest", "left")
 
 
 def without_repeats(
     docs: DataFrame,
-    most_documents: int = MOST_DOCUMENTS,
+    most_documents: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, n_lines, n_removed, partner_ids, kept``: each text without its repeated lines."""
+    """``doc_id, n_lines, n_removed, partner_ids, kept``: each text without its repeated lines.
+
+    With ``most_documents`` a line in more documents is not rare, and a document meets
+    only the first one that has a line.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), body(text_col).alias("body"))
     # Places order documents; a row without an id comes first.
     least = F.lit(-(1 << 63)).cast("long")

@@ -80,3 +80,35 @@ def test_patience_is_increasing_and_finds_moved_text():
         assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
     assert line_dedup.patience(list("abcde"), list("xabyde")) == [(0, 1), (1, 2), (3, 4), (4, 5)]
     assert line_dedup.patience([], [1]) == []
+
+
+def all_pairs(rows):
+    """The texts left, by id, when each document is aligned with all earlier ones; ids and texts are distinct."""
+    lines = {i: [x.strip(" ") for x in t.split("\n")] for i, t in rows}
+    out = {}
+    for i, text in rows:
+        gone = set()
+        for j in sorted(lines):
+            if j < i:
+                shared = set(lines[i]) & set(lines[j]) - {""}
+                gone |= set(line_dedup.common_blocks(lines[j], lines[i], shared))
+        out[i] = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
+    return out
+
+
+def test_lines_the_first_holder_leaves_meet_all_others(spark):
+    cases = [
+        ["a\np\nb\np\nc", "x\np\ny", "z\np\nw"],
+        ["p\nq", "x\nq\np\ny", "z\nq\np\nw"],
+        # None of the first thirty aligns the line; the last two do.
+        [f"a{n}\nr\nb{n}\nr\nc{n}" for n in range(30)] + ["u\nr\nv", "s\nr\nt"],
+    ]
+    rng = np.random.default_rng(3)
+    for _ in range(3):
+        sizes = rng.integers(1, 9, 25)
+        cases.append(["\n".join(f"l{x}" for x in [100 + n, *rng.integers(0, 12, size)]) for n, size in enumerate(sizes)])
+    for texts in cases:
+        rows = list(enumerate(texts))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: r.kept for r in line_dedup.without_repeats(docs).collect()}
+        assert got == all_pairs(rows)
