@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.common import body, materialize
 
-#: A line in more distinct documents than this is not rare.
+#: A usual limit for rare lines, for calls that want one; without it every shared line is rare.
 MOST_DOCUMENTS = 10_000
 
 
@@ -212,7 +212,7 @@ def repeated_lines(rows: DataFrame, most_documents: int | None) -> DataFrame:
     rare = (
         held.groupBy("line")
         .agg(F.count(F.lit(1)).alias("documents"), F.min(who).alias("first"))
-        .where(F.col("documents").between(2, MOST_DOCUMENTS if most_documents is None else most_documents))
+        .where(F.col("documents") >= 2 if most_documents is None else F.col("documents").between(2, most_documents))
     )
     rare = materialize(rare, "lines-rare")
     holders = held.join(rare, "line").drop("documents")

@@ -112,3 +112,11 @@ def test_lines_the_first_holder_leaves_meet_all_others(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string")
         got = {r.doc_id: r.kept for r in line_dedup.without_repeats(docs).collect()}
         assert got == all_pairs(rows)
+
+
+def test_frequent_lines_go_whatever_their_number(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MOST_DOCUMENTS", 3)
+    rows = [(i, f"own {i}\nshared one\nshared two\nend {i}") for i in range(12)]
+    got = {r.doc_id: r.kept for r in line_dedup.without_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1]} | {i: f"own {i}\nend {i}" for i in range(1, 12)}
