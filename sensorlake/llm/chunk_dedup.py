@@ -4,7 +4,9 @@ A gear hash rolls over the last 32 bytes of a text, and a chunk ends where its t
 bits are zero, moved on to the end of a character. Since a boundary depends on the
 bytes just before it only, an insertion changes the chunks around it and no
 others. Chunks are compared by a 128-bit digest of their bytes; the earliest
-occurrence of each stays.
+occurrence of each stays. The last chunk of a text may be shorter than the others; with
+``lone_tails=False`` such a tail goes only together with the chunk before it, where an
+earlier text ends in the same two.
 
 Defined cases: a null text counts as empty, an empty text has no chunks; an empty
 table gives an empty result; a row without an id comes before all others; rows
@@ -95,43 +97,50 @@ def cuts(data: bytes) -> list[int]:
 _CHUNKS = pa.schema([(c, pa.int64()) for c in ("high", "low", "doc_id", "doc_key", "run")])
 
 
-def _chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    digest = xxhash.xxh3_128_digest
-    for batch in batches:
-        digests: list[bytes] = []
-        docs: list[tuple] = []
-        runs: list[np.ndarray] = []
-
-        def flush():
-            parts = np.frombuffer(b"".join(digests), ">i8").astype(np.int64)
-            sizes = [len(r) for r in runs]
-            ids = pa.array([d[0] for d in docs], pa.int64())
-            which = pa.array(np.repeat(np.arange(len(docs)), sizes))
-            keys = np.repeat(np.array([d[1] for d in docs], np.int64), sizes)
-            columns = [parts[::2], parts[1::2], ids.take(which), keys, np.concatenate(runs)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_CHUNKS)
-
-        for doc_id, key, text in zip(*(batch.column(c) for c in ("doc_id", "doc_key", "body"))):
-            data = text.as_buffer().to_pybytes()
-            ends = cuts(data)
-            if not ends:
-                continue
-            begins = [0, *ends[:-1]]
-            digests.extend(digest(data[b:e]) for b, e in zip(begins, ends))
-            at = np.array(begins, np.int64)
-            runs.append(at * (2 * MOST) + (np.array(ends, np.int64) - at))
-            docs.append((doc_id.as_py(), key.as_py()))
-            if len(digests) >= 100_000:
+def _chunker(lone_tails: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
+        for batch in batches:
+            digests: list[bytes] = []
+            docs: list[tuple] = []
+            runs: list[np.ndarray] = []
+
+            def flush():
+                parts = np.frombuffer(b"".join(digests), ">i8").astype(np.int64)
+                sizes = [len(r) for r in runs]
+                ids = pa.array([d[0] for d in docs], pa.int64())
+                which = pa.array(np.repeat(np.arange(len(docs)), sizes))
+                keys = np.repeat(np.array([d[1] for d in docs], np.int64), sizes)
+                columns = [parts[::2], parts[1::2], ids.take(which), keys, np.concatenate(runs)]
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_CHUNKS)
+
+            for doc_id, key, text in zip(*(batch.column(c) for c in ("doc_id", "doc_key", "body"))):
+                data = text.as_buffer().to_pybytes()
+                ends = cuts(data)
+                if not ends:
+                    continue
+                begins = [0, *ends[:-1]]
+                named = list(begins)
+                if not lone_tails and len(ends) > 1 and ends[-1] - begins[-1] < LEAST:
+                    # A short tail is compared with the chunk before it in front.
+                    named[-1] = begins[-2]
+                digests.extend(digest(data[b:e]) for b, e in zip(named, ends))
+                at = np.array(begins, np.int64)
+                runs.append(at * (2 * MOST) + (np.array(ends, np.int64) - at))
+                docs.append((doc_id.as_py(), key.as_py()))
+                if len(digests) >= 100_000:
+                    yield flush()
+                    digests, docs, runs = [], [], []
+            if digests:
                 yield flush()
-                digests, docs, runs = [], [], []
-        if digests:
-            yield flush()
+
+    return run
 
 
-def repeats(rows: DataFrame) -> DataFrame:
+def repeats(rows: DataFrame, lone_tails: bool = True) -> DataFrame:
     """``doc_id, doc_key, run, first_id``: chunks that also occur earlier, and where first."""
     schema = "high long, low long, doc_id long, doc_key long, run long"
-    chunks = materialize(rows.mapInArrow(_chunker, schema), "chunks")
+    chunks = materialize(rows.mapInArrow(_chunker(lone_tails), schema), "chunks")
     name = ["high", "low"]
     shared = chunks.groupBy(*name).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     # Stored, so that the joins can be split where a chunk is very frequent.
@@ -193,12 +202,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def without_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lone_tails: bool = True
 ) -> DataFrame:
     """Each text without the chunks that occur earlier, and the documents that had them first."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), body(text_col).alias("body"))
     rows = rows.withColumn("doc_key", F.xxhash64("doc_id", "body"))
-    later = repeats(rows)
+    later = repeats(rows, lone_tails)
     runs = later.groupBy("doc_id", "doc_key").agg(
         F.collect_list(F.struct("run", "first_id")).alias("runs")
     )

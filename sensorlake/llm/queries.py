@@ -67,7 +67,7 @@ def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = chunk_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    left = chunk_dedup.without_repeats(table(spark, sf_dir, "documents"), lone_tails=False)
     return left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 

@@ -91,3 +91,22 @@ def test_a_shifted_passage_is_caught(spark):
     assert got[0].n_removed == 0
     assert all(got[i].n_removed > 100 and 0 in got[i].first_ids for i in range(1, 40))
     assert np.mean([got[i].n_removed for i in range(1, 40)]) > 250
+
+
+def test_a_short_tail_goes_only_with_the_chunk_before_it(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
+    texts = []
+    while len(texts) < 6:
+        text = " ".join(word() for _ in range(30)) + "."
+        ends = plain_cuts(text.encode())
+        text = text[: ends[-2]] + "."
+        if plain_cuts(text.encode())[-2:] == [len(text) - 1, len(text)]:
+            texts.append(text)
+    rows = [*enumerate(texts), (6, texts[0]), (7, "A")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in chunk_dedup.without_repeats(docs, lone_tails=False).collect()}
+    assert [got[i].kept for i in range(6)] == texts and got[7].kept == "A"
+    assert got[6].kept == "" and got[6].first_ids == [0]
+    seen = {r.doc_id: r for r in chunk_dedup.without_repeats(docs).collect()}
+    assert seen[1].kept == texts[1][:-1]
