@@ -1,0 +1,83 @@
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorlake.llm import collocations
+
+
+def plain(rows, words, least, most, share=100):
+    lower = str.maketrans(collocations.UPPER, collocations.LOWER)
+    n, counts = Counter(), defaultdict(Counter)
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(lower)):
+            found = re.findall("[^ \t]+", piece)
+            n[lang] += len(found)
+            for i in range(len(found)):
+                for m in range(1, min(words, len(found) - i) + 1):
+                    counts[lang][tuple(found[i : i + m])] += 1
+    out = []
+    for lang, f in counts.items():
+        often = {p: c for p, c in f.items() if len(p) > 1 and c >= least}
+        covered = {
+            p[b:e]
+            for p, c in often.items()
+            for b in range(len(p))
+            for e in range(b + 2, len(p) + 1)
+            if e - b < len(p) and 100 * c >= share * f[p[b:e]]
+        }
+        found = []
+        for p, a in often.items():
+            cuts = [(1000 * a * n[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            if p not in covered:
+                found.append((score, a, " ".join(p), f[p[:k]], f[p[k:]]))
+        found.sort(key=lambda r: (-r[0], -r[1], r[2].encode()))
+        out += [
+            (lang, rank, p, a, l, r, n[lang], score)
+            for rank, (score, a, p, l, r) in enumerate(found[:most], 1)
+        ]
+    return sorted(out)
+
+
+def compare(docs, words=5, least=2, most=2000, share=100):
+    rows = [tuple(r) for r in docs.select("lang", "text").collect()]
+    got = collocations.collocations(docs, words, least, most, share)
+    assert sorted(map(tuple, got.collect())) == plain(rows, words, least, most, share)
+
+
+@pytest.mark.parametrize("words,least,most", [(5, 5, 2000), (5, 30, 7), (2, 10, 50)])
+def test_documents_match_brute_force(documents, words, least, most):
+    compare(documents, words, least, most)
+
+
+def test_edges(edge_docs, no_docs):
+    docs = edge_docs.withColumn("lang", F.col("source"))
+    for name in ("w", "w1", "f", "words", "pair", "piece", "score"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    compare(docs)
+    compare(docs, share=60)
+    assert collocations.collocations(no_docs.withColumn("lang", F.lit("en"))).count() == 0
+
+
+def test_whole_windows_give_the_same(documents, monkeypatch):
+    few = documents.where("lang = 'de'")
+    padded = collocations.collocations(few, least=5).collect()
+    monkeypatch.setattr(collocations, "BROADCAST_PAIRS", 0)
+    assert sorted(collocations.collocations(few, least=5).collect()) == sorted(padded)
+
+
+def test_products_beyond_64_bits_are_exact(spark):
+    counts = spark.createDataFrame(
+        [("x", 99_999_999_999_999_989, 99_999_999_999_999_989, 99_999_999_999_999_961, 7_777)],
+        "lang string, a long, n long, l long, r long",
+    )
+    exact = collocations._exact
+    above = exact("a") * exact("n") * F.lit(1000).cast("decimal(4,0)")
+    row = counts.select(above.alias("above"), (exact("l") * exact("r")).alias("below"))
+    got = row.select(F.expr("above div below").alias("q"), "above").first()
+    a = 99_999_999_999_999_989
+    assert int(got.above) == 1000 * a * a
+    assert got.q == 1000 * a * a // (99_999_999_999_999_961 * 7_777)

@@ -1,0 +1,80 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorlake.llm import queries, url_filter
+
+RULES = [
+    ("net/", "||net/", "block", 0),
+    ("example.net/en/", "||example.net/en/", "allow", 0),
+    ("example.com/de", "||example.com/de", "block", 0),
+    ("|shop.", "|shop.", "block", 0),
+    (".pdf|", ".pdf|", "block", 1),
+    ("^ads^", "^ads^", "block", 1),
+    ("/a*b/", "/a*b/", "allow", 1),
+    ("(x)+", "(x)+", "block", 1),
+    ("*", "*", "allow", 2),
+]
+URLS = [
+    None, "", "no scheme", "://", "http://", "http://net", "http://net/", "http://a.net/x",
+    "http://planet/x", "HTTP://Example.NET/en/1", "http://example.net/EN/1", "http://net./x",
+    "https://x.example.com/de", "https://x.example.com/design?q=/de", "http://shop.x/y",
+    "http://x/shop.y", "http://x/y.pdf", "http://x/y.pdf?z", "http://x/ads", "http://x/pads/ads-1#top",
+    "http://x/K\u212Aads\u212A", "http://x/a/1/b/c", "http://x/(x)+", "ftp:/x://net/", "http://u@net/",
+    "http://net:80/", "http://a.net\n/x", "http://x/\nads\n", "a://b://c.net/", "http://é.net/ü",
+    "http://x/" + "long" * 50_000 + "/ads", "http://net/", "http://net/",
+]
+
+
+def plain(url, rules):
+    """Every rule on every address, written out by hand."""
+    head, mark, rest = (url or "").partition("://")
+    rest = rest if mark else ""
+    raw = re.match("[^/?#]*", rest).group()
+    host = raw.translate(str.maketrans(url_filter.UPPER, url_filter.LOWER))
+    path = re.match("[^?#]*", rest[len(raw):]).group()
+    whole = "//" + host + rest[len(raw):]
+    fits = [r for r in rules if re.search(url_filter.expression(r[1]), whole, re.DOTALL)]
+    best = min(fits, key=lambda r: (r[3], -len(r[0]), r[0]), default=(None, None, None, None))
+    return host, path, best[0], best[3], best[2]
+
+
+@pytest.mark.parametrize("most", [100, 2])
+def test_rules_match_brute_force(spark, most):
+    rows = list(enumerate(URLS))
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    for name in ("host", "path", "best", "address", "token", "name"):
+        pages = pages.withColumn(name, F.lit("clash"))
+    for rules in (RULES, RULES[:-1], []):
+        got = url_filter.judged(pages, spark.createDataFrame(rules, url_filter.RULES), most_rules=most)
+        found = {r.page_id: tuple(r)[1:] for r in got.collect()}
+        assert found == {i: plain(url, rules) for i, url in rows}
+    assert url_filter.judged(pages.limit(0), spark.createDataFrame(RULES, url_filter.RULES)).count() == 0
+
+
+def test_only_candidates_run_expressions():
+    counts = {"example": 1000, "com": 900, "pills": 3, "net": 700, "en": 800}
+    rules = [("p", "||pills.example.com/", "block", 0), ("n", "||example.net/en/", "allow", 0), ("s", "x*", "block", 0)]
+    index = url_filter.Index(rules, counts)
+    names = lambda url: {rule[2] for rule, _ in index.candidates(url)}
+    assert names("//www.example.com/en/") == {"s"}
+    assert names("//a.net/") == {"s", "n"}
+    assert names("//pills.example.com/") == {"s", "p"}
+    assert index.best("//www.example.com/en/1") == (0, -1, "s", "block")
+
+
+def test_tokens_stand_between_other_characters():
+    assert url_filter.tokens("||example.net/en/") == {"example", "net", "en"}
+    assert url_filter.tokens("||example.net/en") == {"example", "net"}
+    assert url_filter.tokens("ads.x") == set()
+    assert url_filter.tokens("/a*b/") == set()
+    assert url_filter.tokens("^Ads^x|") == {"ads", "x"}
+
+
+def test_query_blocks_by_site_and_word(spark, sf_dir):
+    rows = queries.op11_url_filter(spark, sf_dir).collect()
+    assert {r.verdict for r in rows} == {"allow", "block"}
+    assert all(r.rule is None or r.pattern is None for r in rows)
+    names = {name for _, name in queries.SITE_RULES}
+    assert {"net/", "example.net/en/"} <= {r.rule for r in rows} - {None} <= names
