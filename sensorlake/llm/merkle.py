@@ -4,7 +4,7 @@ Rows are leaves of one tree per group, in order; the subroots of the groups, in
 order, are the leaves of a last tree. While a tree has several nodes, every two
 consecutive ones become the hash of both, and a lone last one its own hash.
 
-Leaves are appended to blocks of ``2**BLOCK``, aligned to their places, and each
+Leaves are appended to blocks of ``2**block``, aligned to their places, and each
 block streams through one task: an append attaches the partial witness known so far
 to every leaf of an open subtree, and a later sibling extends it. The roots of the
 blocks are appended in the same way, level by level, until one is left. On the way
@@ -186,12 +186,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _grown(rows: pa.Table) -> tuple[Appender, str]:
+def _grown(rows: pa.Table, block: int) -> tuple[Appender, str]:
     tree = Appender()
     for node in rows.column("digest").to_pylist():
         tree.append(node)
     n = rows.column("n")[0].as_py()
-    return tree, tree.close(BLOCK if n > 1 << BLOCK else 0)
+    return tree, tree.close(block if n > 1 << block else 0)
 
 
 _ROOTS = pa.schema(
@@ -199,40 +199,46 @@ _ROOTS = pa.schema(
 )
 
 
-def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in _blocks(batches):
-        n = rows.column("n")[0].as_py()
-        row = (
-            rows.column("grp")[0].as_py(),
-            _grown(rows)[1],
-            (n + (1 << BLOCK) - 1) >> BLOCK,
-            rows.column("block")[0].as_py(),
-        )
-        columns = [pa.array([v], f.type) for v, f in zip(row, _ROOTS)]
-        yield pa.RecordBatch.from_arrays(columns, schema=_ROOTS)
+def _roots(block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            n = rows.column("n")[0].as_py()
+            row = (
+                rows.column("grp")[0].as_py(),
+                _grown(rows, block)[1],
+                (n + (1 << block) - 1) >> block,
+                rows.column("block")[0].as_py(),
+            )
+            columns = [pa.array([v], f.type) for v, f in zip(row, _ROOTS)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_ROOTS)
+
+    return run
+
 
+def _extended(block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            # The first row is the block itself, as a node of the level above.
+            above, rows = rows.slice(0, 1), rows.slice(1)
+            upper = above.column("witness")[0].as_py()
+            tree, _ = _grown(rows, block)
+            witnesses = pa.array([w + upper for w in tree.witnesses], pa.list_(pa.string()))
+            subroots = pa.array(above.column("subroot").to_pylist() * rows.num_rows, pa.string())
+            for name, values in (("witness", witnesses), ("subroot", subroots)):
+                rows = rows.set_column(rows.schema.get_field_index(name), name, values)
+            yield from rows.combine_chunks().to_batches()
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in _blocks(batches):
-        # The first row is the block itself, as a node of the level above.
-        above, rows = rows.slice(0, 1), rows.slice(1)
-        upper = above.column("witness")[0].as_py()
-        tree, _ = _grown(rows)
-        witnesses = pa.array([w + upper for w in tree.witnesses], pa.list_(pa.string()))
-        subroots = pa.array(above.column("subroot").to_pylist() * rows.num_rows, pa.string())
-        for name, values in (("witness", witnesses), ("subroot", subroots)):
-            rows = rows.set_column(rows.schema.get_field_index(name), name, values)
-        yield from rows.combine_chunks().to_batches()
+    return run
 
 
-def _levels(leaves: DataFrame) -> list[DataFrame]:
+def _levels(leaves: DataFrame, block: int) -> list[DataFrame]:
     """Placed nodes: the leaves, the roots of their blocks, the roots of blocks of those, ..."""
     levels = [leaves]
-    block = F.shiftright("place", BLOCK).alias("block")
+    own = F.shiftright("place", block).alias("block")
     while (levels[-1].agg(F.max("n")).first()[0] or 0) > 1:
-        nodes = levels[-1].where("n > 1").select("grp", block, "place", "n", "digest")
+        nodes = levels[-1].where("n > 1").select("grp", own, "place", "n", "digest")
         schema = "grp string, digest string, n long, place long"
-        levels.append(materialize(_blocked(nodes).mapInArrow(_roots, schema), "merkle-level"))
+        levels.append(materialize(_blocked(nodes).mapInArrow(_roots(block), schema), "merkle-level"))
     return levels
 
 
@@ -244,7 +250,7 @@ def _subroots(levels: Sequence[DataFrame]) -> DataFrame:
     return subroots
 
 
-def _witnessed(levels: Sequence[DataFrame], outer: DataFrame) -> DataFrame:
+def _witnessed(levels: Sequence[DataFrame], outer: DataFrame, block: int) -> DataFrame:
     """The leaves with ``witness`` and ``subroot``.
 
     ``outer`` has the witness of each group's subroot in the tree of subroots.
@@ -258,7 +264,7 @@ def _witnessed(levels: Sequence[DataFrame], outer: DataFrame) -> DataFrame:
         if found is not None:
             nodes = (
                 level.where("n > 1")
-                .withColumn("block", F.shiftright("place", BLOCK))
+                .withColumn("block", F.shiftright("place", block))
                 .withColumn("witness", F.lit(None).cast(_WITNESS))
                 .withColumn("subroot", F.lit(None).cast("string"))
             )
@@ -267,7 +273,7 @@ def _witnessed(levels: Sequence[DataFrame], outer: DataFrame) -> DataFrame:
                 "witness", "subroot",
             )
             rows = _blocked(nodes.unionByName(marks, allowMissingColumns=True))
-            made = rows.mapInArrow(_extended, rows.schema).drop("block")
+            made = rows.mapInArrow(_extended(block), rows.schema).drop("block")
             done = made.unionByName(done)
         found = materialize(done, "merkle-witness") if height else done
     return found
@@ -279,6 +285,7 @@ def manifest(
     group: str = "lang",
     order: str = "doc_id",
     carry: Mapping[str, Column] | None = None,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``leaf, witness, subroot, root``, the group and the order value, for every row.
 
@@ -290,13 +297,14 @@ def manifest(
         leaf(*fields).alias("digest"),
         *[value.alias(f"carried_{name}") for name, value in (carry or {}).items()],
     )
-    levels = _levels(_placed(leaves, "by", "digest"))
+    levels = _levels(_placed(leaves, "by", "digest"), block)
     tops = _subroots(levels).select(F.lit("").alias("grp"), F.col("grp").alias("own"), "digest")
-    upper = _levels(_placed(tops, "own"))
+    upper = _levels(_placed(tops, "own"), block)
     last = _subroots(upper).first()  # one row, or none of an empty table
-    none = docs.sparkSession.createDataFrame([("", [])], T.StructType().add("grp", "string").add("witness", _WITNESS))
-    outer = _witnessed(upper, none).select(F.col("own").alias("grp"), "witness")
-    return _witnessed(levels, materialize(outer, "merkle-outer")).select(
+    alone = T.StructType().add("grp", "string").add("witness", _WITNESS)
+    none = docs.sparkSession.createDataFrame([("", [])], alone)
+    outer = _witnessed(upper, none, block).select(F.col("own").alias("grp"), "witness")
+    return _witnessed(levels, materialize(outer, "merkle-outer"), block).select(
         F.col("by").alias(order),
         F.col("grp").alias(group),
         F.col("digest").alias("leaf"),

@@ -49,20 +49,18 @@ def plain(rows):
     ]
 
 
-def compare(docs):
+def compare(docs, block=2):
     rows = [tuple(r) for r in docs.select(*FIELDS).collect()]
-    got = merkle.manifest(docs).select("doc_id", "leaf", "subroot", "root", "witness").collect()
+    got = merkle.manifest(docs, block=block).select("doc_id", "leaf", "subroot", "root", "witness").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(plain(rows), key=repr)
 
 
 @pytest.mark.parametrize("block", [1, 2, 9])
-def test_documents_match_brute_force(documents, monkeypatch, block):
-    monkeypatch.setattr(merkle, "BLOCK", block)
-    compare(documents)
+def test_documents_match_brute_force(documents, block):
+    compare(documents, block)
 
 
-def test_edges(edge_docs, no_docs, monkeypatch):
-    monkeypatch.setattr(merkle, "BLOCK", 2)
+def test_edges(edge_docs, no_docs):
     docs = edge_docs.withColumn("lang", F.when(F.col("doc_id") != 5, F.col("source")))
     for name in ("grp", "by", "place", "tie", "witness", "leaf", "root", "block"):
         docs = docs.withColumn(name, F.lit("clash"))
@@ -73,8 +71,7 @@ def test_edges(edge_docs, no_docs, monkeypatch):
     assert merkle.manifest(no_docs.withColumn("lang", F.lit("en"))).count() == 0
 
 
-def test_many_groups(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "BLOCK", 2)
+def test_many_groups(spark):
     docs = spark.range(300).select(
         F.col("id").alias("doc_id"), F.lit("s").alias("source"),
         F.concat(F.lit("g"), F.pmod(F.hash("id"), F.lit(37)).cast("string")).alias("lang"),
