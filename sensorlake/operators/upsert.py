@@ -1,14 +1,22 @@
-"""Upsert by key, incremental slice and schema sync on plain parquet tables."""
+"""Upsert by key, incremental slice and schema sync on plain parquet tables.
+
+Beside its date folders a stored table has a note of its state (schema, identity and
+version, latest load time, what else is kept), one small note per merge with the dates
+that changed, an index from keys to dates, and the keys that occur more than once.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorlake.operators import key_index
 from sensorlake.operators.enrich import DuplicateKeyError
 from sensorlake.session import scratch
 from sensorlake.sources import files
@@ -18,8 +26,14 @@ from sensorlake.sources.tables import write_full
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 ON_DUPLICATE = ("fail", "latest", "fail_matched")
 
+# Notes of that many merges are kept; who is further behind starts anew.
+KEPT_CHANGES = 1000
+
 _SCHEMA_NOTE = "_schema.json"
 _PENDING_NOTE = "_pending_swap.json"
+_CHANGES = "_changes"
+_KEYS = "_keys"
+_MARK = "load_timestamp"
 
 
 # --- pure operators ---------------------------------------------------------
@@ -111,9 +125,18 @@ def upsert(target: DataFrame, batch: DataFrame, key: str = "reading_id") -> Data
 # --- stored tables ----------------------------------------------------------
 
 
-def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+def _state(spark: SparkSession, path: str) -> dict | None:
     note = files.read_note(spark, f"{path}/{_SCHEMA_NOTE}")
-    return T.StructType.fromJson(json.loads(note)["schema"]) if note else None
+    return json.loads(note) if note else None
+
+
+def _save_state(spark: SparkSession, path: str, state: dict) -> None:
+    files.write_note(spark, f"{path}/{_SCHEMA_NOTE}", json.dumps(state))
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    state = _state(spark, path)
+    return T.StructType.fromJson(state["schema"]) if state else None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -133,6 +156,55 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+@dataclass(frozen=True)
+class Version:
+    """A state of a stored table: which build it comes from, and the merges since."""
+
+    build: str
+    merges: int
+
+
+def version(spark: SparkSession, path: str) -> Version | None:
+    state = _state(spark, path)
+    return Version(state.get("build", ""), state.get("merges", 0)) if state else None
+
+
+def changed_dates(
+    spark: SparkSession, path: str, since: Version | None
+) -> list[dt.date | None] | None:
+    """Dates that merges have changed since a version; None if that cannot be told.
+
+    It cannot after a new build, after a merge that rewrote all dates, and from
+    more than ``KEPT_CHANGES`` merges ago.
+    """
+    now = version(spark, path)
+    if now is None or since is None or since.build != now.build or since.merges > now.merges:
+        return None
+    dates: set[dt.date | None] = set()
+    for number in range(since.merges + 1, now.merges + 1):
+        note = files.read_note(spark, _change_note(path, number))
+        listed = json.loads(note)["dates"] if note else None
+        if listed is None:
+            return None
+        dates |= {None if d is None else dt.date.fromisoformat(d) for d in listed}
+    return sorted(dates, key=lambda d: d or dt.date.min)
+
+
+def _change_note(path: str, number: int) -> str:
+    return f"{path}/{_CHANGES}/{number:010d}.json"
+
+
+def stored_mark(spark: SparkSession, path: str) -> dt.datetime | None:
+    """The latest load time of a stored table, from its note; scanned where none is noted.
+
+    A merge that replaces the rows of the latest load leaves it as it was.
+    """
+    state = _state(spark, path)
+    if state and state.get("mark"):
+        return dt.datetime.fromisoformat(state["mark"])
+    return high_water_mark(read_stored(spark, path))
+
+
 def create_table(
     spark: SparkSession, path: str, rows: DataFrame, partition: str = "reading_date"
 ) -> None:
@@ -140,7 +212,26 @@ def create_table(
 
     An older table stays readable until the new one is complete.
     """
-    write_full(rows, path, partition, notes={_SCHEMA_NOTE: _schema_note(rows.schema, [])})
+    state = {"schema": rows.schema.jsonValue(), "dropped": [], "build": uuid.uuid4().hex, "merges": 0}
+    if _MARK not in rows.columns:
+        write_full(rows, path, partition, notes={_SCHEMA_NOTE: json.dumps(state)})
+        return
+    seen = Observation()
+    rows = rows.observe(seen, _mark_text().alias("mark"))
+
+    def note() -> str:
+        return json.dumps({**state, "mark": seen.get["mark"]})
+
+    write_full(rows, path, partition, notes={_SCHEMA_NOTE: note})
+
+
+def schema_notes(schema: T.StructType) -> dict[str, str]:
+    """The side files by which ``read_stored`` reads a table that is written otherwise."""
+    return {_SCHEMA_NOTE: json.dumps({"schema": schema.jsonValue(), "dropped": []})}
+
+
+def _mark_text() -> Column:
+    return F.max(_MARK).cast("string")
 
 
 def build_table(
@@ -187,10 +278,10 @@ def merge_into(
     "latest" keeps its newest row, and "fail_matched" raises only if the key is
     stored already and otherwise adds all its rows, as a merge statement does.
 
-    ``search_days`` says how many days before the first and after the last date of
-    the batch an older row of the same key can lie. Other dates are then not
-    opened. Without it the keys of all dates are searched, which on a long history
-    costs more than all else.
+    Older rows of the keys are looked up in an index that the first merge builds and
+    each one extends: only the dates that it names are searched. ``search_days``
+    narrows them further, to so many days before the first and after the last date of
+    the batch.
 
     One writer at a time. A run that died is finished by the next call, and
     merging a batch again changes nothing.
@@ -222,49 +313,138 @@ def _merge(
     search_days: int | None,
     work: str,
 ) -> None:
+    state = _indexed(spark, path, key, partition)
     # The batch is used several times below, so it is stored once.
     batch = _store(spark, batch, f"{work}/batch")
     target = read_stored(spark, path)
-    searched = target if search_days is None else near_dates(target, batch, partition, search_days)
+    bucket = key_index.bucket_of(key, state["buckets"])
+    measures = [
+        F.sum(F.octet_length(F.col(key).cast("string")) + 16).alias("bytes"),
+        F.min(key).alias("first"),
+        F.max(key).alias("last"),
+        F.collect_set(F.when(F.col(key).isNotNull(), bucket)).alias("buckets"),
+    ]
+    if _MARK in batch.columns:
+        measures.append(_mark_text().alias("mark"))
+    found = batch.agg(*measures).first().asDict()
+    keys = batch.select(key).where(F.col(key).isNotNull())
+    small = (found["bytes"] or 0) <= BROADCAST_KEY_BYTES
+
+    index = key_index.read(spark, f"{path}/{_KEYS}", target.schema[key], target.schema[partition])
+    located = key_index.lookup(
+        index, keys, key, found["buckets"], found["first"], found["last"], small
+    )
+    located = _store(spark, located.select(key, partition), f"{work}/located")
+    searched = target.where(in_dates(partition, _distinct_dates(located, partition)))
+    if search_days is not None:
+        searched = near_dates(searched, batch, partition, search_days)
+
+    repeated = duplicate_keys(batch, key)
     if on_duplicate == "latest":
         batch = _store(spark, latest_per_key(batch, key), f"{work}/latest")
+        repeated = repeated.limit(0)
     else:
-        refused = duplicate_keys(batch, key)
+        refused = repeated
         if on_duplicate == "fail_matched":
             refused = refused.join(searched.select(key), key, "left_semi")
         if not refused.isEmpty():
             raise DuplicateKeyError(f"{key} occurs more than once in the batch")
 
-    dropped = _dropped_columns(spark, path)
-    keys = batch.select(key).where(F.col(key).isNotNull())
-    key_bytes = keys.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
-    small = key_bytes <= BROADCAST_KEY_BYTES
+    dropped = state["dropped"]
     dates = None
     if not _needs_rewrite(target.schema, batch.schema, dropped):
         dates = _touched_dates(searched, batch, F.broadcast(keys) if small else keys, key, partition)
-    touched = target if dates is None else target.where(_in_dates(partition, dates))
+    touched = target if dates is None else target.where(in_dates(partition, dates))
     kept = without_keys(sync_columns(touched, batch.schema), keys, key, broadcast=small)
     merged = kept.unionByName(batch)
     # Rebalancing groups rows by date for few files per date, and the adaptive
     # plan splits a date that is much larger than the others.
     merged.hint("rebalance", partition).write.partitionBy(partition).parquet(f"{work}/merged")
 
-    after = spark.read.schema(batch.schema).parquet(f"{work}/merged")
-    remaining = set(_distinct_dates(after, partition))
-    before = dates if dates is not None else _distinct_dates(target, partition)
+    named = key_index.entries(batch, key, partition, state["buckets"])
+    same = (F.col(f"n.{key}") == F.col(f"o.{key}")) & F.col(f"n.{partition}").eqNullSafe(
+        F.col(f"o.{partition}")
+    )
+    merges = state.get("merges", 0) + 1
+    # Entries ahead of their rows do no harm, so they need no announcement.
+    new = named.alias("n").join(located.alias("o"), same, "left_anti")
+    key_index.write(new, key_index.added(f"{path}/{_KEYS}", 2 * merges), key)
+
+    repeats = state.get("repeats")
+    if repeats:
+        listed = read_repeats(spark, path, state, target.schema[key])
+        repeats = f"_repeats-{merges}"
+        listed = listed.join(F.broadcast(keys) if small else keys, key, "left_anti")
+        listed.unionByName(repeated).write.mode("overwrite").parquet(f"{path}/{repeats}")
+
+    remaining = set(files.partition_dates(spark, f"{work}/merged", partition))
+    before = dates if dates is not None else files.partition_dates(spark, path, partition)
     gone = {*dropped, *target.columns} - {*batch.columns}
+    older = state.get("mark")
+    if older is None and _MARK in target.columns:
+        older = target.agg(_mark_text()).first()[0]
+    marks = [m for m in (older, found.get("mark")) if m]
     pending = {
         "work": work,
-        "schema": batch.schema.jsonValue(),
         "partition": partition,
-        "emptied": [None if d is None else str(d) for d in before if d not in remaining],
-        # A full rewrite leaves no file that still holds a dropped column.
-        "dropped": [] if dates is None else sorted(gone),
+        "emptied": [_date_text(d) for d in before if d not in remaining],
+        "changed": None if dates is None else [_date_text(d) for d in dates],
+        "state": {
+            **state,
+            "schema": batch.schema.jsonValue(),
+            # A full rewrite leaves no file that still holds a dropped column.
+            "dropped": [] if dates is None else sorted(gone),
+            "merges": merges,
+            "mark": max(marks, key=dt.datetime.fromisoformat, default=None),
+            "repeats": repeats,
+        },
     }
     files.write_note(spark, f"{path}/{_PENDING_NOTE}", json.dumps(pending))
     recover(spark, path)
 
 
+def _date_text(date: dt.date | None) -> str | None:
+    return None if date is None else str(date)
+
+
+def _indexed(spark: SparkSession, path: str, key: str, partition: str) -> dict:
+    """The state of a table that has an index on this key; builds one if need be."""
+    state = _state(spark, path)
+    folder = f"{path}/{_KEYS}"
+    target = read_stored(spark, path)
+    if state.get("indexed") == [key, partition]:
+        key_index.pack(spark, folder, target.schema[key], target.schema[partition])
+        return state
+    size = files.stored_bytes(spark, path)
+    buckets = key_index.build(spark, folder, target, key, partition, size)
+    state |= {"indexed": [key, partition], "buckets": buckets}
+    if state.get("repeats_of") != key:
+        state.pop("repeats", None)
+    _save_state(spark, path, state)
+    return state
+
+
+def repeated_keys(spark: SparkSession, path: str, key: str = "reading_id") -> DataFrame:
+    """Keys that occur more than once in a stored table, with their count.
+
+    Counted once for all rows; merges keep the list up to date after that. They
+    replace all rows of their keys, so only those keys can leave it or join it.
+    """
+    state = _state(spark, path)
+    target = read_stored(spark, path)
+    if state.get("repeats_of") != key or not state.get("repeats"):
+        name = f"_repeats-{state.get('merges', 0)}"
+        duplicate_keys(target, key).write.mode("overwrite").parquet(f"{path}/{name}")
+        state |= {"repeats_of": key, "repeats": name}
+        _save_state(spark, path, state)
+    return read_repeats(spark, path, state, target.schema[key])
+
+
+def read_repeats(spark: SparkSession, path: str, state: dict, key: T.StructField) -> DataFrame:
+    schema = T.StructType([key]).add("n_records", T.LongType())
+    return spark.read.schema(schema).parquet(f"{path}/{state['repeats']}")
+
+
 def near_dates(target: DataFrame, batch: DataFrame, partition: str, days: int) -> DataFrame:
     """Rows of the target within ``days`` of the dates of a batch, or without a date."""
     first, last = batch.agg(F.min(partition), F.max(partition)).first()
@@ -287,22 +467,30 @@ def recover(spark: SparkSession, path: str) -> None:
         # Notes appear whole; a broken one is of an older writer and announced nothing.
         files.delete(spark, f"{path}/{_PENDING_NOTE}")
         return
-    schema = T.StructType.fromJson(pending["schema"])
+    state, work = pending["state"], pending["work"]
+    schema = T.StructType.fromJson(state["schema"])
     partition = pending["partition"]
     (
         spark.read.schema(schema)
-        .parquet(f"{pending['work']}/merged")
+        .parquet(f"{work}/merged")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
     for date in pending["emptied"]:
-        name = "__HIVE_DEFAULT_PARTITION__" if date is None else date
-        files.delete(spark, f"{path}/{partition}={name}")
-    _save_schema(spark, path, schema, pending["dropped"])
+        files.delete(spark, f"{path}/{files.partition_folder(partition, date)}")
+    merges = state["merges"]
+    files.write_note(
+        spark, _change_note(path, merges), json.dumps({"dates": pending["changed"]})
+    )
+    files.delete(spark, _change_note(path, merges - KEPT_CHANGES))
+    former = (_state(spark, path) or {}).get("repeats")
+    _save_state(spark, path, state)
+    if former and former != state["repeats"]:
+        files.delete(spark, f"{path}/{former}")
     files.delete(spark, f"{path}/{_PENDING_NOTE}")
-    files.delete(spark, pending["work"])
+    files.delete(spark, work)
 
 
 def _store(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
@@ -322,7 +510,8 @@ def _distinct_dates(frame: DataFrame, partition: str) -> list[dt.date | None]:
     return [row[0] for row in frame.select(partition).distinct().collect()]
 
 
-def _in_dates(partition: str, dates: list[dt.date | None]) -> Column:
+def in_dates(partition: str, dates: list[dt.date | None]) -> Column:
+    """Whether a row is of one of these dates; None stands for rows without one."""
     known = [d for d in dates if d is not None]
     condition = F.col(partition).isin(known)
     return condition | F.col(partition).isNull() if None in dates else condition
@@ -338,16 +527,3 @@ def _needs_rewrite(old: T.StructType, new: T.StructType, dropped: list[str]) ->
     changed = any(f.name in types and types[f.name] != f.dataType for f in new)
     revived = any(f.name in dropped and f.name not in types for f in new)
     return changed or revived
-
-
-def _dropped_columns(spark: SparkSession, path: str) -> list[str]:
-    note = files.read_note(spark, f"{path}/{_SCHEMA_NOTE}")
-    return json.loads(note)["dropped"] if note else []
-
-
-def _schema_note(schema: T.StructType, dropped: list[str]) -> str:
-    return json.dumps({"schema": schema.jsonValue(), "dropped": dropped})
-
-
-def _save_schema(spark: SparkSession, path: str, schema: T.StructType, dropped: list[str]) -> None:
-    files.write_note(spark, f"{path}/{_SCHEMA_NOTE}", _schema_note(schema, dropped))

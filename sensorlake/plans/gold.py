@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import schemas
 from sensorlake.functions import columns as fn
-from sensorlake.sources.tables import write_full
 
 
 def energy_summary(silver: DataFrame) -> DataFrame:
@@ -34,10 +33,13 @@ def energy_summary(silver: DataFrame) -> DataFrame:
     )
 
 
+_UNIT = ["unit_id", "building_id", "building_name", "zone_id"]
+
+
 def equipment_health(silver: DataFrame) -> DataFrame:
     """One row per unit over all history, with a label from its error-code count."""
     errors = fn.count_where(F.col("error_code").isNotNull())
-    return silver.groupBy("unit_id", "building_id", "building_name", "zone_id").agg(
+    return silver.groupBy(*_UNIT).agg(
         F.count(F.lit(1)).alias("total_readings"),
         fn.round_half_away(F.avg("temperature_celsius"), 2).alias("avg_temperature"),
         fn.round_half_away(F.avg("energy_consumption_kwh"), 3).alias("avg_energy_kwh"),
@@ -50,6 +52,41 @@ def equipment_health(silver: DataFrame) -> DataFrame:
     )
 
 
+def health_parts(silver: DataFrame) -> DataFrame:
+    """What the health of a unit is made of, by date: sums and counts that can be added up."""
+    return silver.groupBy(*_UNIT, "reading_date").agg(
+        F.count(F.lit(1)).alias("readings"),
+        F.sum("temperature_celsius").alias("temperature"),
+        F.count("temperature_celsius").alias("temperatures"),
+        F.sum("energy_consumption_kwh").alias("energy"),
+        F.count("energy_consumption_kwh").alias("energies"),
+        F.sum("runtime_minutes").alias("runtime"),
+        F.count("error_code").alias("errors"),
+        fn.count_where(F.col("compressor_status") == "ERROR").alias("compressor_errors"),
+        fn.count_where(F.col("anomaly_type") != "NORMAL").alias("anomalies"),
+    )
+
+
+def health_of_parts(parts: DataFrame) -> DataFrame:
+    """The health of all units from their parts; the same rows as ``equipment_health``."""
+
+    def mean(total: str, count: str) -> Column:
+        return F.sum(total) / F.nullif(F.sum(count), F.lit(0))
+
+    errors = F.sum("errors")
+    return parts.groupBy(*_UNIT).agg(
+        F.sum("readings").alias("total_readings"),
+        fn.round_half_away(mean("temperature", "temperatures"), 2).alias("avg_temperature"),
+        fn.round_half_away(mean("energy", "energies"), 3).alias("avg_energy_kwh"),
+        F.sum("runtime").alias("total_runtime_minutes"),
+        errors.alias("error_count"),
+        F.sum("compressor_errors").alias("compressor_error_count"),
+        F.sum("anomalies").alias("anomaly_count"),
+        F.max("reading_date").alias("last_reading_date"),
+        fn.health_status(errors).alias("health_status"),
+    )
+
+
 def anomaly_alerts(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Readings that are not valid, newest first, null times before all others.
 
@@ -66,17 +103,23 @@ def anomaly_alerts(silver: DataFrame, ordered: bool = True) -> DataFrame:
     )
 
 
-def write_alerts(silver: DataFrame, path: str) -> None:
-    """Stores the alerts by date, newest first within each file.
+def stored_alerts(silver: DataFrame) -> DataFrame:
+    """The alerts as they are stored: by date, newest first within each file.
 
     Stored silver lies by date already, so this needs no shuffle; a reader that
     wants a global order sorts the dates it reads.
     """
     alerts = anomaly_alerts(silver, ordered=False)
-    newest_first = alerts.sortWithinPartitions(
-        "reading_date", F.desc_nulls_first("reading_timestamp")
-    )
-    write_full(newest_first, path, "reading_date")
+    return alerts.sortWithinPartitions("reading_date", F.desc_nulls_first("reading_timestamp"))
+
+
+def stored_energy(silver: DataFrame) -> DataFrame:
+    """The energy summary with the few rows of a date together, for one file per date."""
+    return energy_summary(silver).hint("rebalance", "reading_date")
+
+
+def stored_health_parts(silver: DataFrame) -> DataFrame:
+    return health_parts(silver).hint("rebalance", "reading_date")
 
 
 MODELS = {

@@ -70,8 +70,8 @@ def refresh(
 ) -> None:
     """Brings the stored silver table up to date with bronze.
 
-    With rows already present only newer loads are read and merged by
-    ``reading_id``. A missing or empty table, or ``full``, builds it from all of
+    With rows already present only loads newer than the noted mark are read and merged
+    by ``reading_id``; silver itself is not scanned for it. A missing or empty table, or ``full``, builds it from all of
     bronze; a full build also brings later dimension changes to old readings.
 
     ``on_duplicate`` holds for both: "latest" keeps the newest row of a repeated
@@ -83,7 +83,7 @@ def refresh(
     upsert.recover(spark, path)
     mark = None
     if not full and upsert.table_exists(spark, path):
-        mark = upsert.high_water_mark(upsert.read_stored(spark, path))
+        mark = upsert.stored_mark(spark, path)
     rows = build(read_since(spark, store, mark), buildings, mark, on_cast_error)
     if mark is None:
         upsert.build_table(spark, path, rows, on_duplicate=on_duplicate)

@@ -38,18 +38,26 @@ BUILDINGS = "buildings(building_id, building_name, city, country) as (values {})
     ", ".join(f"('{r[0]}', '{r[1]}', '{r[2]}', '{r[3]}')" for r in schemas.BUILDING_ROWS)
 )
 
-FLAG = """
-    case when temperature_celsius is null then 'SENSOR_NULL_TEMP'
-         when temperature_celsius > 35 then 'OUT_OF_RANGE_TEMP'
-         when temperature_celsius < 10 then 'OUT_OF_RANGE_TEMP'
-         when energy_consumption_kwh is null then 'SENSOR_NULL_ENERGY'
-         when anomaly_type != 'NORMAL' then 'ANOMALY_DETECTED'
-         else 'VALID' end"""
+# What makes a reading invalid, in the order in which it is looked for.
+_FAULTS = [
+    ("SENSOR_NULL_TEMP", "temperature_celsius is null"),
+    ("OUT_OF_RANGE_TEMP", "temperature_celsius not between 10 and 35"),
+    ("SENSOR_NULL_ENERGY", "energy_consumption_kwh is null"),
+    ("ANOMALY_DETECTED", "anomaly_type <> 'NORMAL'"),
+]
+# The first fault on the list, or none.
+FLAG = "coalesce(list_filter([{}], lambda fault: fault is not null)[1], 'VALID')".format(
+    ", ".join(f"if({broken}, '{name}', null)" for name, broken in _FAULTS)
+)
 
-BUCKET = """
-    case when extract(hour from reading_timestamp) between 8 and 18 then 'BUSINESS_HOURS'
-         when extract(hour from reading_timestamp) between 19 and 22 then 'EVENING'
-         else 'OFF_HOURS' end"""
+# First and last hour of the named parts of a day. All 24 hours are
+# looked up in a list; a reading without a time has no hour.
+_HOURS = {"BUSINESS_HOURS": (8, 18), "EVENING": (19, 22)}
+_NAMED = [
+    next((name for name, (first, last) in _HOURS.items() if first <= hour <= last), "OFF_HOURS")
+    for hour in range(24)
+]
+BUCKET = f"coalesce({_NAMED}[extract(hour from reading_timestamp) + 1], 'OFF_HOURS')"
 
 
 def _silver_of(source: str) -> str:
@@ -255,6 +263,16 @@ ORACLES: dict[str, str] = {
     "chain_energy_summary": f"{WITH_SILVER} {ENERGY}",
     "chain_equipment_health": f"{WITH_SILVER} {HEALTH}",
     "chain_anomaly_alerts": f"{WITH_SILVER} {ALERTS}",
+    "chain_incremental": f"""{WITH_MERGED_SILVER}, energy as ({ENERGY}),
+        health as (with h as (select 1) {HEALTH})
+        select 'energy' as model, building_id as name, reading_date as date, total_readings,
+               avg_humidity, avg_temperature, avg_energy_kwh, error_count, anomaly_count from energy
+        union all
+        select 'health', unit_id, last_reading_date, total_readings, null, avg_temperature,
+               avg_energy_kwh, error_count, anomaly_count from health
+        union all
+        select 'alerts', quality_flag, reading_date, count(*), null, null, null, null, null
+        from ({ALERTS}) alerts group by 1, 2, 3""",
     "dq_unique": f"""{WITH_BATCHES}, appended as (
         select reading_id from readings union all
         select reading_id from second where load_timestamp = timestamp '2024-02-01'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,6 +123,26 @@ def partition_numbers(spark: SparkSession, path: str, column: str) -> list[tuple
     return sorted(found)
 
 
+def partition_folder(column: str, value: object) -> str:
+    """The folder name of a partition."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def partition_dates(spark: SparkSession, path: str, column: str) -> list[dt.date | None]:
+    """The dates of directories ``column=date`` below a path; None for the one without a date."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return []
+    dates = []
+    for status in fs.listStatus(target):
+        key, _, value = status.getPath().getName().partition("=")
+        if key == column and status.isDirectory():
+            dates.append(
+                None if value == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(value)
+            )
+    return dates
+
+
 def escaped(path: str) -> str:
     """A path that readers take literally, not as a pattern."""
     return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorlake.session import scratch
 from sensorlake.sources import files
 
 
@@ -23,10 +25,15 @@ class Sources:
 
 
 def write_full(
-    frame: DataFrame, path: str, *partitions: str, notes: Mapping[str, str] | None = None
+    frame: DataFrame,
+    path: str,
+    *partitions: str,
+    notes: Mapping[str, str | Callable[[], str]] | None = None,
 ) -> None:
     """Replaces the whole table at ``path``, with ``notes`` as side files by name.
 
+    A note given as a function is asked for when the rows are written.
+
     The new table is written beside the old one and takes its place when it is
     complete, so a failed job leaves the old table readable.
     """
@@ -40,12 +47,38 @@ def write_full(
         writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*partitions) if partitions else writer).parquet(fresh)
         for note, text in (notes or {}).items():
-            files.write_note(spark, f"{fresh}/{note}", text)
+            files.write_note(spark, f"{fresh}/{note}", text() if callable(text) else text)
         files.replace_directory(spark, fresh, path)
     finally:
         files.delete(spark, fresh)
 
 
+def replace_dates(
+    frame: DataFrame, path: str, partition: str, dates: Sequence[dt.date | None]
+) -> None:
+    """Replaces some dates of a stored table by the rows of ``frame``, all of these dates.
+
+    Dates without rows go; folders of other dates keep their files. Repeating it
+    changes nothing.
+    """
+    spark = frame.sparkSession
+    work = scratch(spark, "dates")
+    try:
+        frame.write.partitionBy(partition).parquet(work)
+        staged = spark.read.schema(frame.schema).parquet(work)
+        (
+            staged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
+        staged_dates = set(files.partition_dates(spark, work, partition))
+        for date in set(dates) - staged_dates:
+            files.delete(spark, f"{path}/{files.partition_folder(partition, date)}")
+    finally:
+        files.delete(spark, work)
+
+
 def publish_view(frame: DataFrame, name: str) -> None:
     """Makes the frame available to SQL under ``name`` without storing it."""
     frame.createOrReplaceTempView(name)

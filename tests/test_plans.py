@@ -77,10 +77,11 @@ def test_alerts_filter_reaches_the_scan_and_stored_form_has_no_shuffle(spark, la
     assert stored.count() == gold.anomaly_alerts(readings).count()
 
 
-def test_assertions_shuffle_ids_only(spark, lake):
+def test_assertions_scan_once_and_shuffle_ids_only(spark, lake):
     text = plan(assertions.run_suite(silver.read(spark, lake.silver)))
-    schemas_read = re.findall(r"ReadSchema: struct<(.*?)>", text)
-    assert sorted(s.count(":") for s in schemas_read) == [1, 3, 4]
+    scans = re.findall(r"FileScan parquet \[(.*?)\]", text)
+    dates = [scan.count("reading_date#") for scan in scans]
+    assert sorted(scan.count("#") - n for scan, n in zip(scans, dates)) == [1, 5]
 
 
 def test_target_rows_without_key_bypass_the_join(spark, lake):
