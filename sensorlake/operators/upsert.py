@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -206,13 +207,26 @@ def stored_mark(spark: SparkSession, path: str) -> dt.datetime | None:
 
 
 def create_table(
-    spark: SparkSession, path: str, rows: DataFrame, partition: str = "reading_date"
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    partition: str = "reading_date",
+    order: Sequence[str] = (),
 ) -> None:
     """Builds the table anew from all rows, written once and without a shuffle.
 
-    An older table stays readable until the new one is complete.
+    An older table stays readable until the new one is complete. Within each file of
+    a date the rows are sorted by ``order``, here and in later merges, so readers can
+    skip row groups and pages by their statistics.
     """
-    state = {"schema": rows.schema.jsonValue(), "dropped": [], "build": uuid.uuid4().hex, "merges": 0}
+    state = {
+        "schema": rows.schema.jsonValue(),
+        "dropped": [],
+        "build": uuid.uuid4().hex,
+        "merges": 0,
+        "order": list(order),
+    }
+    rows = _clustered(rows, partition, order)
     if _MARK not in rows.columns:
         write_full(rows, path, partition, notes={_SCHEMA_NOTE: json.dumps(state)})
         return
@@ -225,6 +239,16 @@ def create_table(
     write_full(rows, path, partition, notes={_SCHEMA_NOTE: note})
 
 
+def _clustered(rows: DataFrame, partition: str, order: Sequence[str]) -> DataFrame:
+    """Rows sorted within each task as they are to be written.
+
+    Writing by date sorts by date anyway; this sorts once by date and the rest. A
+    column that a merge has dropped no longer counts.
+    """
+    present = [c for c in order if c in rows.columns]
+    return rows.sortWithinPartitions(partition, *present) if present else rows
+
+
 def schema_notes(schema: T.StructType) -> dict[str, str]:
     """The side files by which ``read_stored`` reads a table that is written otherwise."""
     return {_SCHEMA_NOTE: json.dumps({"schema": schema.jsonValue(), "dropped": []})}
@@ -241,6 +265,7 @@ def build_table(
     key: str = "reading_id",
     partition: str = "reading_date",
     on_duplicate: str = "fail_matched",
+    order: Sequence[str] = (),
 ) -> None:
     """Builds the table anew under a policy for keys that occur more than once.
 
@@ -252,7 +277,7 @@ def build_table(
         rows = latest_per_key(rows, key)
     elif on_duplicate == "fail" and not duplicate_keys(rows.select(key), key).isEmpty():
         raise DuplicateKeyError(f"{key} occurs more than once")
-    create_table(spark, path, rows, partition)
+    create_table(spark, path, rows, partition, order)
 
 
 def check_policy(on_duplicate: str) -> None:
@@ -268,12 +293,13 @@ def merge_into(
     partition: str = "reading_date",
     on_duplicate: str = "fail",
     search_days: int | None = None,
+    order: Sequence[str] = (),
 ) -> None:
     """Upserts a batch into a parquet table partitioned by date.
 
     Only dates that the batch, or a row it replaces, belongs to are rewritten.
     A missing or empty table is created from the whole batch as it is, repeated
-    keys included (the uniqueness assertion reports those). What a later batch
+    keys included (the uniqueness assertion reports those), and sorted by ``order``. What a later batch
     with a repeated key does is chosen by ``on_duplicate``: "fail" raises,
     "latest" keeps its newest row, and "fail_matched" raises only if the key is
     stored already and otherwise adds all its rows, as a merge statement does.
@@ -291,7 +317,7 @@ def merge_into(
     if not table_exists(spark, path) or read_stored(spark, path).isEmpty():
         # Nothing is stored that a repeated key could match.
         first = "latest" if on_duplicate == "latest" else "fail_matched"
-        build_table(spark, path, batch, key, partition, first)
+        build_table(spark, path, batch, key, partition, first, order)
         return
 
     work = scratch(spark, "merge")
@@ -470,9 +496,9 @@ def recover(spark: SparkSession, path: str) -> None:
     state, work = pending["state"], pending["work"]
     schema = T.StructType.fromJson(state["schema"])
     partition = pending["partition"]
+    merged = spark.read.schema(schema).parquet(f"{work}/merged")
     (
-        spark.read.schema(schema)
-        .parquet(f"{work}/merged")
+        _clustered(merged, partition, state.get("order", ()))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -86,10 +86,13 @@ def refresh(
         mark = upsert.stored_mark(spark, path)
     rows = build(read_since(spark, store, mark), buildings, mark, on_cast_error)
     if mark is None:
-        upsert.build_table(spark, path, rows, on_duplicate=on_duplicate)
+        upsert.build_table(
+            spark, path, rows, on_duplicate=on_duplicate, order=schemas.SILVER_ORDER
+        )
     else:
         upsert.merge_into(
-            spark, path, rows, on_duplicate=on_duplicate, search_days=search_days
+            spark, path, rows, on_duplicate=on_duplicate, search_days=search_days,
+            order=schemas.SILVER_ORDER,
         )
 
 

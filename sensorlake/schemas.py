@@ -94,6 +94,9 @@ SILVER_COLUMNS = READING_COLUMNS + [
     "temp_deviation_celsius",
 ]
 
+#: How silver is sorted within the files of a date.
+SILVER_ORDER = ["unit_id", "reading_timestamp"]
+
 ALERT_COLUMNS = [
     "reading_id",
     "unit_id",

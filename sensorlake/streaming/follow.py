@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from sensorlake import schemas
 from sensorlake.operators import upsert
 from sensorlake.plans import bronze, silver
 from sensorlake.plans.bronze import BronzeStore
@@ -84,6 +85,8 @@ def to_silver(
         bronze.land(session, lines, store, label)
         landed = bronze.read_load(session, store, label)
         rows = silver.build(landed, buildings, on_cast_error=on_cast_error)
-        upsert.merge_into(session, path, rows, on_duplicate=on_duplicate)
+        upsert.merge_into(
+            session, path, rows, on_duplicate=on_duplicate, order=schemas.SILVER_ORDER
+        )
 
     return follow(spark, root, checkpoint, each_batch, max_files)

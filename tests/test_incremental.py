@@ -5,6 +5,7 @@ import json
 import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,6 +228,51 @@ def test_changed_dates(spark, tmp_path, history, monkeypatch):
     assert upsert.changed_dates(spark, path, second) is None
 
 
+# --- order within dates -----------------------------------------------------
+
+
+def row_groups(path, unit, first, last):
+    """Row groups of the files below, and those that may hold rows of a unit and time."""
+    every, met = 0, 0
+    for folder, _, names in os.walk(path):
+        for name in names:
+            if name.endswith(".parquet") and "reading_date=" in folder:
+                meta = pq.ParquetFile(f"{folder}/{name}").metadata
+                places = {meta.schema.column(i).name: i for i in range(len(meta.schema))}
+                for g in range(meta.num_row_groups):
+                    of = [meta.row_group(g).column(places[c]).statistics for c in schemas.SILVER_ORDER]
+                    every += 1
+                    met += of[0].min <= unit <= of[0].max and of[1].min <= last and of[1].max >= first
+    return every, met
+
+
+def test_silver_is_sorted_within_dates(spark, sf_dir, tmp_path):
+    """A filter on unit and hour meets few row groups of a date, after a build and after a merge."""
+    typed = adapter.readings(spark, sf_dir)
+    dated = typed.withColumn("reading_date", F.lit("2024-01-05").cast("date"))
+    rows = silver.enrich(dated, schemas.buildings(spark)).repartition(1)
+    path = f"{tmp_path}/silver"
+    context = spark.sparkContext._jsc.hadoopConfiguration()
+    context.setInt("parquet.block.size", 4096)
+    context.setInt("parquet.page.size.row.check.min", 10)
+    context.setInt("parquet.block.size.row.check.min", 10)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        early = F.col("reading_timestamp") < F.lit("2024-01-16").cast("timestamp_ntz")
+        upsert.merge_into(spark, path, rows.where(early), order=schemas.SILVER_ORDER)
+        unit = rows.agg(F.min("unit_id")).first()[0]
+        hours = dt.datetime(2024, 1, 8, 9), dt.datetime(2024, 1, 8, 10)
+        for _ in range(2):
+            every, met = row_groups(path, unit, *hours)
+            assert every >= 20 and met <= every // 10
+            upsert.merge_into(spark, path, rows.where(~early), order=schemas.SILVER_ORDER)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        for key in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+            context.unset(key)
+    assert upsert.read_stored(spark, path).count() == typed.count()
+
+
 # --- derived tables ---------------------------------------------------------
 
 
