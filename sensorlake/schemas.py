@@ -38,6 +38,25 @@ QUARANTINE = struct(
     """
 )
 
+# How loaded lines are stored: where a line stood instead of its number, which
+# follows from the splits of its load.
+_PLACE = "split_start bigint, scan_seq bigint, part bigint, load_batch string"
+LANDED = struct(
+    f"""
+    load_id string, load_timestamp timestamp_ntz, source_file_name string,
+    raw_data variant, reading_date date, {_PLACE}
+    """
+)
+LANDED_REJECTS = struct(
+    f"load_timestamp timestamp_ntz, source_file_name string, line string, {_PLACE}"
+)
+SPLITS = struct(
+    """
+    source_file_name string, split_start bigint, first_seq bigint, lines bigint,
+    accepted bigint, shift bigint, part bigint, load_batch string
+    """
+)
+
 FILE_LOG = struct(
     """
     source_file_name string, rows_loaded bigint, rows_rejected bigint,

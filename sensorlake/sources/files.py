@@ -110,17 +110,31 @@ def _aside(path: str) -> str:
     return f"{folder}/_old_{name}"
 
 
-def partition_numbers(spark: SparkSession, path: str, column: str) -> list[tuple[int, str]]:
-    """The numbers of directories ``column=number`` below a path, with their paths."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a path."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def partition_folders(spark: SparkSession, path: str, column: str) -> list[tuple[str, str]]:
+    """Value and path of each directory ``column=value`` directly below a path."""
     fs, target = _locate(spark, path)
     if not fs.exists(target):
         return []
     found = []
     for status in fs.listStatus(target):
         key, _, value = status.getPath().getName().partition("=")
-        if key == column and value.isdigit() and status.isDirectory():
-            found.append((int(value), status.getPath().toString()))
-    return sorted(found)
+        if key == column and status.isDirectory():
+            found.append((value, status.getPath().toString()))
+    return found
+
+
+def partition_numbers(spark: SparkSession, path: str, column: str) -> list[tuple[int, str]]:
+    """The numbers of directories ``column=number`` below a path, with their paths."""
+    found = partition_folders(spark, path, column)
+    return sorted((int(value), folder) for value, folder in found if value.isdigit())
 
 
 def partition_folder(column: str, value: object) -> str:
@@ -130,17 +144,10 @@ def partition_folder(column: str, value: object) -> str:
 
 def partition_dates(spark: SparkSession, path: str, column: str) -> list[dt.date | None]:
     """The dates of directories ``column=date`` below a path; None for the one without a date."""
-    fs, target = _locate(spark, path)
-    if not fs.exists(target):
-        return []
-    dates = []
-    for status in fs.listStatus(target):
-        key, _, value = status.getPath().getName().partition("=")
-        if key == column and status.isDirectory():
-            dates.append(
-                None if value == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(value)
-            )
-    return dates
+    return [
+        None if value == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(value)
+        for value, _ in partition_folders(spark, path, column)
+    ]
 
 
 def escaped(path: str) -> str:

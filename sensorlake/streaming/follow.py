@@ -83,7 +83,7 @@ def to_silver(
         session = lines.sparkSession
         label = _label(batch_id)
         bronze.land(session, lines, store, label)
-        landed = bronze.read_load(session, store, label)
+        landed = bronze.read_load(session, store, label, row_numbers=False)
         rows = silver.build(landed, buildings, on_cast_error=on_cast_error)
         upsert.merge_into(
             session, path, rows, on_duplicate=on_duplicate, order=schemas.SILVER_ORDER

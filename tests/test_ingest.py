@@ -171,7 +171,7 @@ def test_landing_again_replaces_all_dates(spark, tmp_path, store):
 
 def test_vanished_file_is_noted(spark, landing, store, monkeypatch):
     with monkeypatch.context() as patch:
-        patch.setattr(bronze, "land", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        patch.setattr(bronze, "_land_parts", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             bronze.load_new_files(spark, landing, store)
     gone = glob.glob(f"{landing}/*/*/day=02/*.json")[0]
@@ -234,7 +234,7 @@ def test_load_times_grow_even_if_the_clock_does_not(spark, landing, store):
     assert times == [now, now + dt.timedelta(microseconds=1)]
 
 
-@pytest.mark.parametrize("broadcast_limit", [0, 200_000])
+@pytest.mark.parametrize("broadcast_limit", [0, 4, 200_000])
 def test_row_numbers_across_splits(spark, tmp_path, store, monkeypatch, broadcast_limit):
     """One large file in many splits next to small ones; blank lines count."""
     monkeypatch.setattr(row_numbers, "BROADCAST_SPLITS", broadcast_limit)
@@ -338,16 +338,103 @@ def test_chain_passes_on_clean_data(spark, tmp_path):
     assert chain.run(spark, root, lake, schemas.buildings(spark), DAYS[1], DAYS[2]) == 20
 
 
-def test_other_splits_than_counted_fail(spark, tmp_path):
-    root = f"{tmp_path}/raw/sensors"
-    put(root, 1, "sensors_000.json", [line(n) for n in range(2000)])
-    numbered = row_numbers.number_rows(
-        spark, row_numbers.with_scan_order(json_lines.scan(spark, root)), f"{tmp_path}/work"
+def test_positions_with_gaps_fail(spark):
+    places = spark.sql(
+        "select 'f' source_file_name, 0L split_start, explode(array(4, 5, 7)) scan_seq"
     )
-    assert numbered.count() == 2000
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        with pytest.raises(Exception, match="not split as when they were counted"):
-            numbered.write.format("noop").mode("overwrite").save()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert row_numbers.split_offsets(places.where("scan_seq < 6")).first()["shift"] == -3
+    with pytest.raises(Exception, match="not read by one task"):
+        row_numbers.split_offsets(places).collect()
+
+
+def test_files_are_read_once(spark, landing, store, monkeypatch):
+    """After the lines are landed the files may go: report and numbers need them no more."""
+    count = bronze._count_splits
+
+    def without_files(*args):
+        for name in glob.glob(f"{landing}/*/*/*/*"):
+            os.remove(name)
+        count(*args)
+
+    monkeypatch.setattr(bronze, "_count_splits", without_files)
+    assert bronze.load_new_files(spark, landing, store) == 5
+    numbers = sorted(r.source_file_row_num for r in bronze.read_bronze(spark, store).collect())
+    assert numbers == [1, 1, 1, 2, 3]
+    assert bronze.read_file_log(spark, store).agg(F.sum("rows_rejected")).first()[0] == 3
+
+
+@pytest.mark.parametrize("limit", [1, 2, 4])
+def test_numbering_never_shuffles_lines(spark, landing, store, monkeypatch, limit):
+    monkeypatch.setattr(row_numbers, "BROADCAST_SPLITS", limit)
+    bronze.load_new_files(spark, landing, store)
+    put(landing, 2, "sensors_001.json", [line(n, 2) for n in range(10, 20)])
+    bronze.load_new_files(spark, landing, store)
+    rows = bronze.read_bronze(spark, store)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert rows.count() == 15 and rows.where("source_file_row_num is null").count() == 0
+    assert rows.agg(F.max("source_file_row_num")).first()[0] == 10
+
+
+@pytest.mark.parametrize("most", [1, 2, 5])
+def test_load_of_many_files_is_written_in_parts(spark, landing, store, monkeypatch, most):
+    for n in range(7):
+        put(landing, 2, f"more_{n}.json", [line(n, 2), line(n + 50, 2)])
+    monkeypatch.setattr(bronze, "MOST_FILES", most)
+    sizes = []
+    scan = json_lines.scan
+    monkeypatch.setattr(json_lines, "scan", lambda *a, paths, **k: sizes.append(len(paths)) or scan(*a, paths=paths, **k))
+    real = bronze._write_lines
+
+    def dies(*args):
+        if len(sizes) == 3:
+            raise RuntimeError("driver lost")
+        real(*args)
+
+    if most < 5:
+        with monkeypatch.context() as patch:
+            patch.setattr(bronze, "_write_lines", dies)
+            with pytest.raises(RuntimeError):
+                bronze.load_new_files(spark, landing, store)
+        assert bronze.read_since(spark, store, None).count() == 0
+        sizes.clear()
+    assert bronze.load_new_files(spark, landing, store) == 19
+    assert sum(sizes) == 10 and len(sizes) > 1
+    rows = bronze.read_bronze(spark, store)
+    assert rows.select("load_timestamp").distinct().count() == 1
+    assert bronze.read_since(spark, store, None).count() == rows.count() == 19
+    assert rows.select("load_id").distinct().count() == 19
+    files_of = rows.where("source_file_name like '%more_%'").groupBy("source_file_name")
+    numbers = files_of.agg(F.sort_array(F.collect_list("source_file_row_num")).alias("n")).collect()
+    assert [r.n for r in numbers] == [[1, 2]] * 7
+    assert bronze.load_new_files(spark, landing, store) == 0
+
+
+def test_nothing_new_reads_the_window_only(spark, landing, store, monkeypatch):
+    bronze.load_new_files(spark, landing, store)
+    read, real = [], bronze._read_folders
+    monkeypatch.setattr(bronze, "_read_folders", lambda s, p, c, folders: read.extend(folders) or real(s, p, c, folders))
+    before = sorted(os.listdir(store.root))
+    assert bronze.load_day(spark, landing, store, DAYS[2]) == 0
+    assert read == [f"{store.claimed}/claim_day=2026-01-02"]
+    assert sorted(os.listdir(store.root)) == before and not os.listdir(store.open_loads)
+
+
+def test_claim_that_died_is_made_again(spark, landing, store, monkeypatch):
+    real = files.write_note
+    notes = []
+
+    def dies_at_third(spark, path, text):
+        notes.append(path)
+        if len(notes) == 3:
+            raise RuntimeError("driver lost")
+        real(spark, path, text)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "write_note", dies_at_third)
+        with pytest.raises(RuntimeError):
+            bronze.load_new_files(spark, landing, store)
+    assert os.listdir(store.claimed)
+    assert bronze.load_new_files(spark, landing, store) == 5
+    assert bronze.read_bronze(spark, store).count() == 5
+    assert bronze.load_new_files(spark, landing, store) == 0
