@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import schemas
+from sensorlake.session import scratch
 from sensorlake.sources import files
 
 MANIFEST_VERSION = "1.0.0"
@@ -48,7 +49,8 @@ def write_days(
     it died do not count as present and are written again. The manifest has one
     row per written day: date, record count, time and version.
 
-    Only the days of these records are looked up, not all days below the root.
+    The records are evaluated once. Only their days are looked up, not all days below
+    the root.
     Rows are rebalanced by day, so a day makes few files, and a day holding much
     of the data is split over several tasks and files.
     """
@@ -57,6 +59,16 @@ def write_days(
     dated = records.withColumn(
         "_day", F.coalesce(day, F.raise_error("a record has no day").cast("date"))
     )
+    work = scratch(spark, "days")
+    try:
+        # Stored once: counts and files come from the same evaluation of the records.
+        dated.write.parquet(work)
+        return _write_days(spark, spark.read.schema(dated.schema).parquet(work), root, skip_existing)
+    finally:
+        files.delete(spark, work)
+
+
+def _write_days(spark: SparkSession, dated: DataFrame, root: str, skip_existing: bool) -> DataFrame:
     counts = dated.groupBy(F.col("_day").alias("date")).agg(F.count(F.lit(1)).alias("n")).collect()
 
     note = f"{root}/{_WRITING_NOTE}"

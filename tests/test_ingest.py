@@ -310,6 +310,23 @@ def test_write_days_repeats_days_left_incomplete(spark, tmp_path, monkeypatch):
     assert ids == {"a", "b2", "c"}
 
 
+def test_manifest_and_files_are_of_one_evaluation(spark, tmp_path, monkeypatch):
+    """The records' own source may go once they have been evaluated."""
+    source = f"{tmp_path}/source"
+    spark.range(20).selectExpr(
+        "cast(id as string) reading_id", "timestamp_ntz'2026-01-01 08:00:00' timestamp"
+    ).write.parquet(source)
+    real = ndjson._write_days
+
+    def without_source(*args):
+        files.delete(spark, source)
+        return real(*args)
+
+    monkeypatch.setattr(ndjson, "_write_days", without_source)
+    manifest = ndjson.write_days(spark.read.parquet(source), f"{tmp_path}/out").collect()
+    assert manifest[0]["record_count"] == spark.read.text(f"{tmp_path}/out").count() == 20
+
+
 def test_record_without_day_is_refused(spark, tmp_path):
     rows = spark.sql("select 'a' reading_id, cast(null as timestamp_ntz) timestamp")
     with pytest.raises(Exception, match="a record has no day"):
