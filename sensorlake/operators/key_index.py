@@ -12,6 +12,9 @@ into one, so the entries of a long history are neither rewritten nor shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,8 @@ BUCKET_BYTES = 64 * 1024 * 1024
 MOST_BUCKETS = 16_384
 # Additions that lie beside the first build before they are packed.
 MOST_ADDITIONS = 32
+# Broadcasts by which the keys of one batch are looked up at most.
+MOST_PIECES = 64
 
 _ADDED = "added"
 
@@ -77,16 +82,28 @@ def lookup(
     index: DataFrame,
     keys: DataFrame,
     key: str,
-    buckets: list[int],
-    first: object,
-    last: object,
-    broadcast: bool,
+    buckets: Sequence[int],
+    span: tuple[object, object],
+    broadcasts: int,
 ) -> DataFrame:
-    """Entries of some keys, which lie in ``buckets`` and between ``first`` and ``last``."""
-    if first is None:
+    """Entries of some keys, which lie in ``buckets`` and within ``span``.
+
+    ``broadcasts`` says into how many pieces the keys must be cut to be broadcast. A
+    piece is the keys of some buckets and meets these buckets only, so no entry is
+    shuffled or read twice. Beyond ``MOST_PIECES`` keys and entries are shuffled.
+    """
+    if not buckets:
         return index.limit(0)
-    near = index.where(F.col("bucket").isin(buckets)).where(F.col(key).between(first, last))
-    return near.join(F.broadcast(keys) if broadcast else keys, key, "left_semi")
+    near = index.where(F.col("bucket").isin(buckets)).where(F.col(key).between(*span))
+    if broadcasts > min(MOST_PIECES, len(buckets)):
+        return near.join(keys.select(key), key, "left_semi")
+    pieces = max(1, broadcasts)
+    found = []
+    for turn in range(pieces):
+        own = F.col("bucket").isin(buckets[turn::pieces])
+        known = F.broadcast(keys.where(own).select(key))
+        found.append(near.where(own).join(known, key, "left_semi"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def pack(

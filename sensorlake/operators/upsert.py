@@ -358,7 +358,12 @@ def _merge(
 
     index = key_index.read(spark, f"{path}/{_KEYS}", target.schema[key], target.schema[partition])
     located = key_index.lookup(
-        index, keys, key, found["buckets"], found["first"], found["last"], small
+        index,
+        keys.withColumn("bucket", bucket),
+        key,
+        sorted(found["buckets"]),
+        (found["first"], found["last"]),
+        -(-(found["bytes"] or 0) // max(1, BROADCAST_KEY_BYTES)),
     )
     located = _store(spark, located.select(key, partition), f"{work}/located")
     searched = target.where(in_dates(partition, _distinct_dates(located, partition)))

@@ -104,6 +104,27 @@ def test_new_keys_open_no_date(spark, tmp_path, history, opened):
     assert upsert.read_stored(spark, path).count() == 605
 
 
+@pytest.mark.parametrize("most,shuffled", [(64, False), (1, True)])
+def test_large_batch_is_looked_up_in_pieces(spark, tmp_path, history, monkeypatch, opened, most, shuffled):
+    monkeypatch.setattr(key_index, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(key_index, "MOST_PIECES", most)
+    monkeypatch.setattr(upsert, "BROADCAST_KEY_BYTES", 500)
+    path = f"{tmp_path}/t"
+    upsert.create_table(spark, path, history)
+    batch = later(history, "value % 7 = 0", days=1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        upsert.merge_into(spark, path, batch)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = opened["index"][0][0]
+    assert ("Exchange hashpartitioning" in plan) == shuffled
+    assert shuffled or plan.count("BroadcastExchange") > 2
+    wanted = upsert.upsert(history, batch)
+    got = upsert.read_stored(spark, path)
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+
 def test_stream_opens_its_dates(spark, sf_dir, tmp_path, opened):
     typed = adapter.readings(spark, sf_dir)
     early = typed.where(adapter.is_early())
