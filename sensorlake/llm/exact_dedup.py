@@ -59,7 +59,32 @@ def exact_groups(
 
 
 def without_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    groups = exact_groups(docs, keep=keep).where("kept").select("doc_id").distinct()
-    left, right = docs.alias("d"), groups.alias("g")
-    return left.join(right, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left_semi")
+    """One row of ``docs`` for each text, with its columns.
+
+    It is that with the kept id; of rows that repeat the id and the text, the least by
+    all columns.
+    """
+    groups = exact_groups(docs, keep=keep).where("kept")
+    kept = groups.groupBy("doc_id", F.col("text_sha256").alias("key")).agg(
+        F.count(F.lit(1)).alias("times")
+    )
+    return rows_of(docs, materialize(kept, "exact-kept"))
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """A row of ``docs`` for each id and SHA-256 of a text in ``kept``: ``doc_id, key, times``.
+
+    ``times`` says how many rows have both. Only where there are several are they
+    compared, and each task hands on one.
+    """
+    left, right = docs.alias("d"), kept.alias("k")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (
+        F.sha2(body("d.text"), 256) == F.col("k.key")
+    )
+    once = left.join(right.where("k.times = 1"), same, "left_semi")
+    tied = kept.where("times > 1")
+    if tied.isEmpty():
+        return once
+    found = left.join(tied.alias("k"), same).select("k.key", F.struct("d.*").alias("row"))
+    least = found.groupBy(F.col("row.doc_id").alias("id"), "key").agg(F.min("row").alias("row"))
+    return once.unionByName(least.select("row.*"))

@@ -17,7 +17,7 @@ or null if it has none.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.common import body, materialize
 from sensorlake.llm.components import components
+from sensorlake.llm.exact_dedup import rows_of
 
 BITS = 64
 #: Members of a bucket that one unit of work compares with each other, about.
@@ -58,16 +59,20 @@ def fingerprint(text: str, words: int) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    words: int = 4,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    others: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id`` and ``bits``, the fingerprint as a signed long."""
+    """``doc_id`` and ``bits``, the fingerprint as a signed long; also ``others``."""
 
     @F.arrow_udf(T.LongType())
     def simhash(texts: pa.Array) -> pa.Array:
         made = (fingerprint(text.as_py(), words) for text in texts)
         return pa.array(np.fromiter(made, np.uint64, len(texts)).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("doc_id"), simhash(body(text_col)).alias("bits"))
+    return docs.select(F.col(id_col).alias("doc_id"), simhash(body(text_col)).alias("bits"), *others)
 
 
 def _block_masks(max_bits: int) -> list[int]:
@@ -168,6 +173,25 @@ def links(bits: DataFrame, max_bits: int) -> DataFrame:
     )
 
 
+def _components(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``bits, root, component_id`` of each fingerprint in ``marked``.
+
+    ``root`` names the component by a fingerprint, ``component_id`` by its least id,
+    which is null where no row has one.
+    """
+    distinct = materialize(
+        marked.groupBy("bits").agg(F.min("doc_id").alias("least_id")), "simhash-distinct"
+    )
+    grouped = components(links(distinct.select("bits"), max_bits))
+    rooted = distinct.join(
+        grouped.withColumnRenamed("node", "bits"), "bits", "left"
+    ).withColumn("root", F.coalesce("root", "bits"))
+    # Stored before it is joined back, so that a very large component can be split.
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least = materialize(least, "simhash-least")
+    return rooted.join(least, "root").select("bits", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 4,
@@ -181,22 +205,21 @@ def near_duplicates(
     named by its smallest id.
     """
     marked = materialize(fingerprints(docs, words, id_col, text_col), "simhash")
-    distinct = materialize(
-        marked.groupBy("bits").agg(F.min("doc_id").alias("least_id")), "simhash-distinct"
-    )
-    grouped = components(links(distinct.select("bits"), max_bits))
-    rooted = distinct.join(
-        grouped.withColumnRenamed("node", "bits"), "bits", "left"
-    ).withColumn("root", F.coalesce("root", "bits"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("bits", "component_id")
+    named = _components(marked, max_bits).select("bits", "component_id")
     hexed = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
     return marked.join(named, "bits").select("doc_id", hexed, "component_id")
 
 
 def without_near_copies(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` that name their component, with their columns."""
-    found = near_duplicates(docs, words, max_bits)
+    """One row of ``docs`` for each component, with its columns.
+
+    It is a row with the component's least id; of several, that with the least SHA-256
+    of the text, and of rows that repeat both, the least by all columns.
+    """
+    keyed = docs.select("doc_id", "text", F.sha2(body("text"), 256).alias("key"))
+    marked = materialize(fingerprints(keyed, words, others=["key"]), "simhash")
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    left, right = docs.alias("d"), found.where(own).select("doc_id").distinct().alias("k")
-    return left.join(right, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    found = marked.join(_components(marked, max_bits), "bits").where(own)
+    counted = found.groupBy("root", "doc_id", "key").agg(F.count(F.lit(1)).alias("times"))
+    kept = counted.groupBy("root").agg(F.min(F.struct("key", "doc_id", "times")).alias("kept"))
+    return rows_of(docs, materialize(kept.select("kept.*"), "simhash-kept"))

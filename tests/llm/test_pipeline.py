@@ -7,7 +7,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from sensorlake.llm import byte_bpe, mixing
+from sensorlake.llm import byte_bpe, exact_dedup, mixing, simhash
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
@@ -88,3 +88,45 @@ def test_empty_and_odd_documents(spark, edge_docs, no_docs, sf_dir):
             docs = stage(spark, docs, sf_dir)
             assert docs.columns == edge_docs.columns
         corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+
+
+def texts(frame):
+    return sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr)
+
+
+def test_repeated_and_absent_ids_leave_one_row_of_a_text(spark):
+    rows = [(1, "a a a a a"), (1, "a a a a a"), (None, "x y z u v"), (None, "x y z u v"), (None, "a a a a a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(1, "a a a a a"), (None, "x y z u v")]
+    assert texts(exact_dedup.without_copies(docs, keep="largest")) == want
+    assert texts(simhash.without_near_copies(docs)) == want
+
+
+def test_rows_that_tie_are_told_apart_by_their_other_columns(spark):
+    rows = [(1, "b", "t"), (1, "a", "t"), (1, "a", "t"), (2, "z", "other text"), (1, None, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    kept = exact_dedup.without_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == [(1, "a", "t"), (1, None, "u"), (2, "z", "other text")]
+
+
+def test_one_row_of_a_component_stays(spark):
+    """Texts of one id that are near copies, a component without ids, and two apart."""
+    near = " ".join(f"word{i}" for i in range(400))
+    other = " ".join(f"term{i}" for i in range(50))
+    rows = [(1, near), (1, near + " end"), (2, near), (None, other), (None, other), (None, "short one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    named = {r.component_id for r in simhash.near_duplicates(docs).where("doc_id is not null").collect()}
+    assert named == {1}
+    first = min((near, near + " end"), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert texts(simhash.without_near_copies(docs)) == sorted(
+        [(1, first), (None, other), (None, "short one")], key=repr
+    )
+
+
+def test_a_third_of_the_rows_is_one_row_repeated(spark, documents):
+    one = documents.orderBy("doc_id").limit(1)
+    hot = documents.unionByName(one.crossJoin(spark.range(documents.count() // 2)).drop("id"))
+    hot = hot.select(*documents.columns)
+    assert texts(exact_dedup.without_copies(hot)) == texts(exact_dedup.without_copies(documents))
+    assert texts(simhash.without_near_copies(hot)) == texts(simhash.without_near_copies(documents))
