@@ -137,7 +137,10 @@ def collocations(
     of words. A phrase inside a longer one with ``share`` percent of its count goes.
     """
     counts = phrase_counts(docs, words, least, text_col, lang_col)
-    totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
+    # Stored, so that its size is known: of few languages it is broadcast.
+    totals = materialize(
+        counts.where("size = 0").select("lang", F.col("f").alias("n")), "collocation-totals"
+    )
     parts = counts.where("size > 0").select("lang", "phrase", "f")
     candidates = counts.where("size > 1").withColumnRenamed("f", "a")
 
