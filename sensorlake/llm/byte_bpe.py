@@ -33,6 +33,9 @@ FIRST_LETTER = 0x100
 #: Distinct pre-tokens whose ids a task keeps at hand.
 CACHED = 150_000
 
+_IDS = T.ArrayType(T.IntegerType(), False)
+_CODED = T.StructType([T.StructField("ids", _IDS), T.StructField("decoded", T.BinaryType())])
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes to rank, from lines of base64 and number."""
@@ -135,16 +138,10 @@ class ByteBpe:
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         model = spark.sparkContext.broadcast(serialized_model(read_ranks(path)))
 
-        @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
+        @F.arrow_udf(_IDS)
         def encoded(texts: pa.Array) -> pa.Array:
             codec = _codec(model.value, pattern)
-            made: list[pa.Array] = []
-            for begin, end in _slices(texts):
-                ids = codec.encode(texts[begin:end].to_pylist())
-                sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                made.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+            made = [_ids(codec.encode(part)) for part in _slices(texts)]
             return pa.concat_arrays(made) if made else pa.array([], pa.list_(pa.int32()))
 
         @F.arrow_udf(T.BinaryType())
@@ -152,8 +149,20 @@ class ByteBpe:
             get = _table(model.value).__getitem__
             return pa.array([b"".join(map(get, x)) for x in _lists(ids)], pa.binary())
 
+        @F.arrow_udf(_CODED)
+        def coded(texts: pa.Array) -> pa.Array:
+            codec = _codec(model.value, pattern)
+            made = []
+            for part in _slices(texts):
+                ids = codec.encode(part)
+                back = pa.array(map(codec.decode, ids), pa.binary())
+                made.append(pa.StructArray.from_arrays([_ids(ids), back], ["ids", "decoded"]))
+            empty = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+            return pa.concat_arrays(made) if made else pa.array([], empty)
+
         # Marked so that the planner does not run the encoder once for each use of its ids.
         self._encoded, self._decoded = encoded.asNondeterministic(), decoded
+        self._coded = coded.asNondeterministic()
 
     def ids(self, text: str | Column) -> Column:
         """``array<int>``: the ids of a text, null as empty."""
@@ -163,18 +172,29 @@ class ByteBpe:
         """``binary``: the bytes that ids stand for."""
         return self._decoded(F.col(ids) if isinstance(ids, str) else ids)
 
+    def coded(self, text: str | Column) -> Column:
+        """``struct<ids, decoded>``: the ids of a text and the bytes they stand for, from one Python process."""
+        return self._coded(body(text))
+
 
 def _slices(texts: pa.Array, most: int = 500_000):
-    """Ranges of rows with a bounded number of bytes, or one row."""
+    """The texts in lists with a bounded number of bytes, or of one text."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     begin = held = 0
     for row, size in enumerate(sizes):
         if held and held + size > most:
-            yield begin, row
+            yield texts[begin:row].to_pylist()
             begin, held = row, 0
         held += size
     if begin < len(sizes):
-        yield begin, len(sizes)
+        yield texts[begin:].to_pylist()
+
+
+def _ids(ids: list[list[int]]) -> pa.ListArray:
+    sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+    flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
 def _lists(ids: pa.Array):
@@ -194,3 +214,20 @@ def encode(
 def decode(docs: DataFrame, bpe: ByteBpe, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the bytes that its ids stand for."""
     return docs.withColumn(out, bpe.bytes(ids_col))
+
+
+def encode_and_decode(
+    docs: DataFrame, bpe: ByteBpe, text_col: str = "text", ids_col: str = "ids", out: str = "decoded"
+) -> DataFrame:
+    """``docs`` with the ids of each whole text and the bytes that these ids stand for.
+
+    One Python process a task does both; ``decode(encode(docs))`` holds two.
+    Columns of these two names are replaced, all others kept.
+    """
+    kept = [c for c in docs.columns if c not in (ids_col, out)]
+    rows = docs.select(F.struct(*kept).alias("doc") if kept else F.lit(0).alias("doc"), bpe.coded(text_col).alias("coded"))
+    return rows.select(
+        *(F.col("doc").getField(c).alias(c) for c in kept),
+        F.col("coded.ids").alias(ids_col),
+        F.col("coded.decoded").alias(out),
+    )

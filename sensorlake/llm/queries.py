@@ -104,7 +104,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame, bpe: byte_bpe.ByteBpe, *others: str) -> DataFrame:
     """Digests of the ids of each text and of the bytes they decode to; also ``others``."""
     kept = {"doc_id", "text", *others} - {"ids"}
-    coded = byte_bpe.decode(byte_bpe.encode(docs.select(*kept), bpe), bpe)
+    coded = byte_bpe.encode_and_decode(docs.select(*kept), bpe)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select(
         "doc_id",

@@ -46,6 +46,16 @@ def test_edges(spark, edge_docs, no_docs, library):
     assert digests(spark, no_docs) == []
 
 
+def test_both_at_once_equal_one_after_the_other(spark, edge_docs):
+    bpe = tokenizer(spark)
+    docs = edge_docs.selectExpr("*", "'x' AS coded", "'y' AS doc")
+    apart = byte_bpe.decode(byte_bpe.encode(docs, bpe), bpe)
+    both = byte_bpe.encode_and_decode(docs, bpe)
+    assert set(both.columns) == set(apart.columns)
+    both = both.select(apart.columns)
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, apart.collect()))
+
+
 def test_every_character_and_every_token(library, codec):
     """Each code point between letters, and each token that is text, as the library does."""
     points = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
