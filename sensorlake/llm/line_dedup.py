@@ -6,12 +6,16 @@ turn. Blocks of aligned lines that hold a shared rare line go from the later
 document.
 
 Each rare line pairs a document with the first document that has it. Where that
-leaves the line in place, the document meets the next earliest ones that have it, in
-rounds, each four times as long, until the line goes or no earlier document is left:
-the lines that go are those that go when all pairs are aligned, but most documents
-meet one other. (With a limit given for rare lines only the first round is made.)
-Only line hashes travel; texts are read once more at the end. Of equal texts the first stands for all, and the others, aligned
-with it from end to end, lose every line.
+leaves the line in place, the document meets the other earlier ones in rounds, each
+four times as long, until the line goes or none is left. Patience diff aligns nothing
+in two texts that share neither their first line, nor their last, nor a line standing
+once in both (a seed). So a document meets only those that share a line that stays
+and a seed with it, and each of them once: a divider in every text makes no pairs by
+itself. The rare lines that go are those that go when all pairs are aligned, but most
+documents meet one other. (With a limit given for rare lines only the first round is
+made.) Only line hashes travel; texts are read once more at the end. Of equal texts
+the first stands for all, and the others, aligned with it from end to end, lose every
+line.
 
 Defined cases: a null text counts as empty; blank lines are never rare and go only
 inside a block; lines are compared without surrounding blanks; an empty table gives
@@ -25,12 +29,13 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import body, materialize
+from sensorlake.llm.common import body, discard, materialize
 
 #: A usual limit for rare lines, for calls that want one; without it every shared line is rare.
 MOST_DOCUMENTS = 10_000
@@ -105,6 +110,28 @@ def _aligned(a: pa.Array, b: pa.Array, rare: pa.Array) -> pa.Array:
     return pa.array(made, pa.list_(pa.int32()))
 
 
+@F.arrow_udf(T.ArrayType(T.IntegerType(), False))
+def _aligned_whole(a: pa.Array, b: pa.Array, blank: pa.Array) -> pa.Array:
+    """As ``_aligned`` where every shared line but the blank one is rare."""
+    rows = ((x.as_py(), y.as_py(), z.as_py()) for x, y, z in zip(a, b, blank))
+    made = [common_blocks(x, y, set(y) - {z}) for x, y, z in rows]
+    return pa.array(made, pa.list_(pa.int32()))
+
+
+@F.arrow_udf(T.ArrayType(T.LongType(), False))
+def _seeds(lines: pa.Array) -> pa.Array:
+    """Numbers of the lines that stand once, and of the first and the last as such.
+
+    Two lines may get one number: documents may then meet in vain, but none is missed.
+    """
+    made = []
+    for row in lines:
+        values, times = np.unique(np.array(row.as_py(), np.int64), return_counts=True)
+        ends = np.array([row[0].as_py() ^ 0x5DEECE66D, row[-1].as_py() ^ 0x2545F4914F6CDD1D], np.int64)
+        made.append(np.concatenate([values[times == 1], ends]))
+    return pa.array(made, pa.list_(pa.int64()))
+
+
 @F.arrow_udf(T.ArrayType(T.LongType(), False))
 def _staying(lines: pa.Array, gone: pa.Array, asked: pa.Array) -> pa.Array:
     """The lines asked for that are left somewhere once others are gone."""
@@ -117,72 +144,114 @@ def _staying(lines: pa.Array, gone: pa.Array, asked: pa.Array) -> pa.Array:
 
 
 def _ranked(holders: DataFrame) -> DataFrame:
-    """``line, place, digest, rank``: the documents of each line numbered in order.
+    """``key, line, place, digest, rank``: the documents of each key numbered in order.
 
-    By a global sort, so a line in very many documents is cut into several tasks.
+    By a global sort, so a key of very many documents is cut into several tasks.
     """
+    columns = ["key", "line", "place", "digest"]
     part, at = F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
     ordered = materialize(
-        holders.sort("line", "place", "digest").select("line", "place", "digest", part, at), "lines-ordered"
+        holders.sort("key", "place", "digest", "line").select(*columns, part, at), "lines-ordered"
     )
-    before = Window.partitionBy("line").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
-        ordered.groupBy("line", "part")
+        ordered.groupBy("key", "part")
         .agg(F.min("at").alias("begin"), F.count(F.lit(1)).alias("n"))
         .withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0)))
     )
+    parts = materialize(parts, "lines-parts")
     rank = (F.col("at") - F.col("begin") + F.col("skip")).alias("rank")
-    return materialize(
-        ordered.join(parts, ["line", "part"]).select("line", "place", "digest", rank), "lines-ranked"
+    ranked = materialize(ordered.join(parts, ["key", "part"]).select(*columns, rank), "lines-ranked")
+    discard(ordered, parts)
+    return ranked
+
+
+def _keyed(texts: DataFrame, holders: DataFrame, open_lines: DataFrame) -> DataFrame:
+    """``key, line, place, digest``: a key for each open line of a document and each of its seeds."""
+    lines = materialize(open_lines.select("line").distinct(), "lines-wanted")
+    who = materialize(
+        holders.join(lines, "line", "left_semi").select("line", "place", "digest"), "lines-who"
+    )
+    involved = who.select("digest").distinct()
+    seeds = materialize(
+        texts.join(involved, "digest", "left_semi")
+        .select("digest", F.explode(_seeds("lines")).alias("seed")),
+        "lines-seeds",
+    )
+
+    def shared(rows: DataFrame, name: str) -> DataFrame:
+        twice = rows.groupBy(name).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+        return rows.join(materialize(twice.select(name), f"lines-{name}s"), name, "left_semi")
+
+    keyed = who.join(shared(seeds, "seed"), "digest").select(
+        F.xxhash64("line", "seed").alias("key"), "line", "place", "digest"
     )
+    # Only stored once reduced twice: by seeds of one document, then by keys of one.
+    return shared(materialize(keyed, "lines-keyed"), "key")
 
 
-def _later_rounds(texts: DataFrame, holders: DataFrame, found: DataFrame) -> DataFrame:
-    """All that is ``found``, once lines left by their first holder have met the others."""
-    empty = F.array().cast("array<int>")
+def _later_rounds(texts: DataFrame, holders: DataFrame, met: DataFrame, found: DataFrame) -> DataFrame:
+    """All that is ``found``, once lines left by their first holder have met the others.
+
+    ``met`` are the pairs aligned so far.
+    """
 
     def staying(asked: DataFrame) -> DataFrame:
-        away = found.groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-        left = _staying("lines", F.coalesce("gone", empty), "asked")
+        left = _staying("lines", F.coalesce("gone", F.array().cast("array<int>")), "asked")
         return (
             asked.groupBy("digest")
-            .agg(F.collect_list("line").alias("asked"))
+            .agg(F.collect_set("line").alias("asked"))
             .join(texts.select("digest", "lines"), "digest")
-            .join(away, "digest", "left")
+            .join(_gone(found), "digest", "left")
             .select("digest", F.explode(left).alias("line"))
         )
 
     open_lines = materialize(staying(holders.where("digest != first.digest")), "lines-open")
-    ranked = _ranked(holders.join(open_lines.select("line").distinct(), "line", "left_semi"))
-    open_lines = ranked.join(open_lines, ["line", "digest"], "left_semi")
-    low, high = 1, 4
+    if open_lines.isEmpty():
+        return found
+    ranked = _ranked(_keyed(texts, holders, open_lines))
+    open_keys = ranked.join(open_lines, ["line", "digest"], "left_semi")
+    low, high = 0, 4
     while True:
-        open_lines = materialize(open_lines.where(F.col("rank") > low), "lines-open")
-        if open_lines.isEmpty():
+        open_keys = materialize(open_keys.where(F.col("rank") > low), "lines-open")
+        if open_keys.isEmpty():
             return found
         earlier = ranked.where(F.col("rank").between(low, high - 1)).select(
-            "line", F.col("digest").alias("a_digest"), F.col("rank").alias("a_rank")
+            "key", F.col("digest").alias("a_digest"), F.col("rank").alias("a_rank")
         )
         pairs = (
-            open_lines.join(earlier, "line")
-            .where(F.col("rank") > F.col("a_rank"))
-            .groupBy("a_digest", "digest")
-            .agg(F.collect_list("line").alias("rare"))
+            open_keys.join(earlier, "key")
+            .where((F.col("rank") > F.col("a_rank")) & (F.col("digest") != F.col("a_digest")))
+            .select("a_digest", "digest")
+            .distinct()
+            .join(met, ["a_digest", "digest"], "left_anti")
         )
-        found = found.union(materialize(_align(texts, materialize(pairs, "lines-pairs")), "lines-aligned"))
-        open_lines = open_lines.join(staying(open_lines), ["line", "digest"], "left_semi")
+        pairs = materialize(pairs, "lines-pairs")
+        met = met.union(pairs)
+        found = found.union(materialize(_align(texts, pairs), "lines-aligned"))
+        open_keys = open_keys.join(staying(open_keys), ["line", "digest"], "left_semi")
         low, high = high, 4 * high
 
 
+def _gone(found: DataFrame) -> DataFrame:
+    """``digest, gone``: of each text the numbers of the lines that go, each once before it is collected."""
+    each = found.select("digest", F.explode("gone").alias("line_no")).distinct()
+    return each.groupBy("digest").agg(F.collect_list("line_no").alias("gone"))
+
+
 def _align(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """``digest, a_place, gone`` of the pairs in which something aligned goes."""
     earlier = texts.select(
         F.col("digest").alias("a_digest"), F.col("place").alias("a_place"), F.col("lines").alias("a")
     )
+    if "rare" in pairs.columns:
+        gone = _aligned("a", "b", "rare")
+    else:
+        gone = _aligned_whole("a", "b", F.xxhash64(F.lit("")))
     return (
         pairs.join(earlier, "a_digest")
         .join(texts.select("digest", F.col("lines").alias("b")), "digest")
-        .select("digest", "a_place", _aligned("a", "b", "rare").alias("gone"))
+        .select("digest", "a_place", gone.alias("gone"))
         .where(F.size("gone") > 0)
     )
 
@@ -218,18 +287,17 @@ def repeated_lines(rows: DataFrame, most_documents: int | None) -> DataFrame:
     holders = held.join(rare, "line").drop("documents")
     if most_documents is None:
         holders = materialize(holders, "lines-holders")
-    pairs = (
-        holders.where(F.col("digest") != F.col("first.digest"))
-        .groupBy(F.col("first.digest").alias("a_digest"), "digest")
-        .agg(F.collect_list("line").alias("rare"))
-    )
-    found = _align(texts, materialize(pairs, "lines-pairs"))
+    pairs = holders.where(F.col("digest") != F.col("first.digest"))
+    pair = [F.col("first.digest").alias("a_digest"), "digest"]
     if most_documents is None:
-        found = _later_rounds(texts, holders, materialize(found, "lines-aligned"))
-    aligned = found.groupBy("digest").agg(
-        F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"),
-        F.array_sort(F.collect_set("a_place")).alias("partners"),
-    )
+        met = materialize(pairs.select(*pair).distinct(), "lines-pairs")
+        found = materialize(_align(texts, met), "lines-aligned")
+        found = _later_rounds(texts, holders, met, found)
+    else:
+        met = pairs.groupBy(*pair).agg(F.collect_list("line").alias("rare"))
+        found = materialize(_align(texts, materialize(met, "lines-pairs")), "lines-aligned")
+    partners = found.groupBy("digest").agg(F.array_sort(F.collect_set("a_place")).alias("partners"))
+    aligned = _gone(found).join(partners, "digest")
     return texts.select("digest", F.col("place").alias("first")).join(aligned, "digest", "left")
 
 

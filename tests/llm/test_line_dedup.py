@@ -120,3 +120,55 @@ def test_frequent_lines_go_whatever_their_number(spark, monkeypatch):
     got = {r.doc_id: r.kept for r in line_dedup.without_repeats(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {0: rows[0][1]} | {i: f"own {i}\nend {i}" for i in range(1, 12)}
+
+
+def all_earlier(rows):
+    """``id, lines left but for blank ones``: each distinct text aligned with all earlier ones."""
+    order = sorted({(i is not None, i or 0, t or "") for i, t in rows}, key=lambda r: r[:2])
+    first = {}
+    for named, i, text in order:
+        first.setdefault(text, (named, i))
+    lines = {t: [x.strip(" ") for x in t.split("\n")] for t in first}
+    left = {}
+    for n, text in enumerate(first):
+        gone = set()
+        for other in list(first)[:n]:
+            shared = set(lines[text]) - {""}
+            gone |= set(line_dedup.common_blocks(lines[other], lines[text], shared))
+        left[text] = [x for k, x in enumerate(lines[text]) if k not in gone and x]
+    copies = lambda i, t: (i is not None, i or 0) != first[t]
+    return sorted(((i, [] if copies(i, t or "") else left[t or ""]) for i, t in rows), key=repr)
+
+
+def compare_all(docs):
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    got = line_dedup.without_repeats(docs).select("doc_id", "kept").collect()
+    left = [(r.doc_id, [x.strip(" ") for x in r.kept.split("\n") if x.strip(" ")]) for r in got]
+    assert sorted(left, key=repr) == all_earlier(rows)
+
+
+def test_the_mode_of_the_query_equals_all_pairs(spark, documents, edge_docs):
+    compare_all(documents)
+    compare_all(edge_docs)
+    rng = np.random.default_rng(11)
+    texts = set()
+    while len(texts) < 120:  # many repeated lines, equal first and last lines, blank lines
+        lines = [f"l{x}" if x else "" for x in rng.integers(0, 9, rng.integers(1, 12))]
+        texts.add("\n".join(lines))
+    compare_all(spark.createDataFrame(list(enumerate(sorted(texts))), "doc_id long, text string"))
+
+
+def test_a_divider_in_every_text_makes_no_pairs(spark, monkeypatch):
+    align, pairs = line_dedup._align, []
+
+    def counted(texts, met):
+        pairs.append(met.count())
+        return align(texts, met)
+
+    monkeypatch.setattr(line_dedup, "_align", counted)
+    for n in (100, 200):
+        texts = [f"head {i}\n---\nbody {i}\n---\ntail {i}" for i in range(n)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        pairs.clear()
+        assert [r.n_removed for r in line_dedup.without_repeats(docs).collect()] == [0] * n
+        assert sum(pairs) == n - 1
