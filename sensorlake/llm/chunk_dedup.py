@@ -10,8 +10,10 @@ earlier text ends in the same two.
 
 Defined cases: a null text counts as empty, an empty text has no chunks; an empty
 table gives an empty result; a row without an id comes before all others; rows
-repeating an id and text are one document, reported for each row; rows repeating
-an id with other texts are ordered by a hash of the text.
+repeating an id and text are one document, searched once and reported for each row;
+rows repeating an id with other texts are ordered by a hash of the text. Texts of any
+length are cut whole, by one task each. Other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import body, discard, materialize
+from sensorlake.llm.common import body, discard, materialize, one_of_each
 
 #: Fewest bytes of a chunk, but for the last of a text; also what the hash looks at.
 LEAST = 32
@@ -207,7 +209,7 @@ def without_repeats(
     """Each text without the chunks that occur earlier, and the documents that had them first."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), body(text_col).alias("body"))
     rows = rows.withColumn("doc_key", F.xxhash64("doc_id", "body"))
-    later = repeats(rows, lone_tails)
+    later = repeats(one_of_each(rows, "doc_id", "doc_key"), lone_tails)
     runs = later.groupBy("doc_id", "doc_key").agg(
         F.collect_list(F.struct("run", "first_id")).alias("runs")
     )

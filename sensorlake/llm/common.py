@@ -50,3 +50,22 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         for folder in {path.rpartition("/")[0] for path in table.inputFiles()}:
             files.delete(table.sparkSession, folder)
+
+
+def one_of_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` with one row of those that agree in all ``keys``; nulls agree.
+
+    Only numbers of rows are shuffled unless some repeat, and then those that do,
+    reduced before the shuffle.
+    """
+    times = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
+    twice = materialize(times.where("times > 1").select(*keys), "rows-repeated")
+    if twice.isEmpty():
+        discard(twice)
+        return rows
+    left, right = rows.alias("l"), twice.alias("r")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
+    several = left.join(right, same, "left_semi").dropDuplicates(list(keys))
+    return left.join(right, same, "left_anti").union(materialize(several, "rows-once"))

@@ -31,33 +31,36 @@ def plain_cuts(data):
     return out
 
 
-def plain(rows):
+def plain(rows, lone_tails=True):
     places = sorted({(i is not None, i or 0, t or "") for i, t in rows}, key=lambda r: r[:2])
     first, out = {}, {}
     for named, i, text in places:
         data, kept, ids, n, gone = text.encode(), b"", set(), 0, 0
-        begin = 0
+        begin = before = 0
         for end in plain_cuts(data):
-            chunk = data[begin:end]
+            tail = not lone_tails and end == len(data) and begin and end - begin < chunk_dedup.LEAST
+            name = data[before:end] if tail else data[begin:end]
             n += 1
-            if chunk in first:
+            if name in first:
                 gone += 1
-                ids |= {first[chunk]} - {None}
+                ids |= {first[name]} - {None}
             else:
-                first[chunk] = i if named else None
-                kept += chunk
-            begin = end
+                first[name] = i if named else None
+                kept += data[begin:end]
+            before, begin = begin, end
         row = (len(data), n, gone, len(data) - len(kept), sorted(ids), kept.decode())
         out[(i if named else None, text)] = row
     return out
 
 
 def compare(docs):
+    """In both modes; the query runs the second."""
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    want = plain(rows)
-    expected = sorted(((i, *want[i, t or ""]) for i, t in rows), key=repr)
-    got = sorted(map(tuple, chunk_dedup.without_repeats(docs).collect()), key=repr)
-    assert got == expected
+    for lone_tails in (True, False):
+        want = plain(rows, lone_tails)
+        expected = sorted(((i, *want[i, t or ""]) for i, t in rows), key=repr)
+        got = chunk_dedup.without_repeats(docs, lone_tails=lone_tails).collect()
+        assert sorted(map(tuple, got), key=repr) == expected
 
 
 def test_documents_match_brute_force(documents):
@@ -110,3 +113,13 @@ def test_a_short_tail_goes_only_with_the_chunk_before_it(spark):
     assert got[6].kept == "" and got[6].first_ids == [0]
     seen = {r.doc_id: r for r in chunk_dedup.without_repeats(docs).collect()}
     assert seen[1].kept == texts[1][:-1]
+
+
+def test_rows_that_repeat_an_id_and_text(spark):
+    """A third of the rows are one row, and as many are one row without an id."""
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
+    shared = " ".join(word() for _ in range(60))
+    rows = [(i, f"{word()} {shared} {word()}") for i in range(30)]
+    rows += [(5, rows[5][1])] * 30 + [(None, rows[7][1])] * 30
+    compare(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
