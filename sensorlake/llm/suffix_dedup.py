@@ -19,8 +19,10 @@ again by the window itself, so no task holds more than one salt's share.
 
 Defined cases: a null text counts as empty; texts shorter than ``length`` stay
 whole; an empty table gives an empty result; a row without an id starts before all
-others; rows repeating an id and text are one document, reported for each row;
-rows repeating an id with other texts are ordered by a hash of the text.
+others; rows repeating an id and text are one document, searched once and reported
+for each row; rows repeating an id with other texts are ordered by a hash of the
+text. Texts of any length are searched whole. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import body, discard, materialize
+from sensorlake.llm.common import body, discard, materialize, one_of_each
 
 #: Bytes of the grams that name a window.
 GRAM = 32
@@ -551,7 +553,7 @@ def without_repeats(
         raise ValueError(f"length must be from {GRAM + 1} to {GRAM + 126}")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), body(text_col).alias("body"))
     rows = rows.withColumn("doc_key", F.xxhash64("doc_id", "body"))
-    found = repeats(rows, length)
+    found = repeats(one_of_each(rows, "doc_id", "doc_key"), length)
     runs = found.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
     left, right = rows.alias("d"), runs.alias("r")
     same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.doc_key") == F.col("r.doc_key"))

@@ -85,3 +85,16 @@ def test_sorting_groups_equal_windows():
             assert len({windows[int(w)] for w in part}) == 1
             got.append(windows[int(part[0])])
     assert len(got) == len(set(got)) == len(set(windows.values()))
+
+
+def test_rows_that_repeat_an_id_and_text(spark):
+    """A third of the rows are one row, and as many are one row without an id."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
+    shared = " ".join(word() for _ in range(40))
+    rows = [(i, f"{word()} {shared} {word()}") for i in range(30)]
+    rows += [(5, rows[5][1])] * 30 + [(None, rows[7][1])] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    once = suffix_dedup.one_of_each(docs, "doc_id", "text").collect()
+    assert sorted(map(tuple, once), key=repr) == sorted(set(rows), key=repr)
+    compare(docs)
