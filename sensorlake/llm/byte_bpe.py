@@ -10,7 +10,8 @@ The model is a constant of the vocabulary file (a few MB) and is broadcast.
 Defined cases: a null text counts as empty; an empty text has no ids and decodes
 to no bytes; an empty table gives an empty result; repeated rows give equal rows;
 texts of any length are encoded whole. A pre-token without a break of any kind is
-one unit for the model, as its merges may span all of it.
+one unit for the model, as its merges may span all of it. Columns of ``docs`` of the
+names of the results are replaced, all others kept.
 """
 
 from __future__ import annotations

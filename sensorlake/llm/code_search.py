@@ -14,7 +14,8 @@ which no better result can exceed.
 Defined cases: a row with a null or empty vector, or without an id, is neither
 query nor result; vectors must have one length; fewer codes than k give as many
 results as there are; ties go to the smaller id; repeated rows are results each;
-a query meets its own row too; an empty table gives an empty result.
+a query meets its own row too; an empty table gives an empty result. Columns other
+than ``id`` and ``code`` are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ one text. Members carry digests, not texts, to their group.
 
 Defined cases: a null text counts as empty; an empty table gives an empty result;
 rows with a null id are members, and are kept only in a group without any id; of
-rows that repeat the kept id and its text each is reported as kept and counted.
+rows that repeat the kept id and its text each is reported as kept and counted. Texts
+of any length are compared whole. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ Defined cases: a null text counts as empty; blank lines are never rare and go on
 inside a block; lines are compared without surrounding blanks; an empty table gives
 an empty result; a row without an id comes before all others; rows repeating an id
 and text are one document, reported for each row; rows repeating an id with other
-texts are ordered by a digest of the text.
+texts are ordered by a digest of the text. Texts of any length are aligned whole, a
+pair in one task. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ meet only the small table of rates.
 Defined cases: a null text counts as empty; a null source is a source of its own;
 a source without any character gets no copies; an empty table gives an empty
 result; rows repeating an id draw the same number, as do rows without an id;
-columns of ``docs`` named ``copy`` or ``mix_key`` are replaced.
+columns of ``docs`` named ``copy`` or ``mix_key`` are replaced. Texts of any length
+count with all their characters.
 """
 
 from __future__ import annotations

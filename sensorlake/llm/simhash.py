@@ -12,7 +12,8 @@ Defined cases: a null text counts as empty; a text without words has fingerprint
 zero and is linked like any other; one with fewer words than a shingle has its
 whole sequence as the only shingle; an empty table gives an empty result; repeated
 rows share a component; rows without an id get the least id of their component,
-or null if it has none.
+or null if it has none. Texts of any length are hashed whole, by one task each. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ Defined cases: a null text counts as empty and is scored like any other; a label
 that is null, or of an id that no document has, is not used; of several labels of
 one id the largest holds; a row without an id is never trained on; with labels of
 one kind only, or none, every score is their share of ones; an empty table gives an
-empty result; repeated rows are scored each.
+empty result; repeated rows are scored each. Texts of any length are scored whole.
+The rows given to a scorer keep their columns, but for one of the name of the score,
+which is replaced, and names that begin with ``toxic_``, which are the scorer's own:
+put rows that have such into a struct, as the pipeline does.
 """
 
 from __future__ import annotations
