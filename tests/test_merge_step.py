@@ -108,3 +108,55 @@ def test_rows_that_compress_well_are_indexed_in_several_buckets(spark, tmp_path,
     upsert.merge_into(spark, path, changed(history, "value = 7"))
     assert files.stored_bytes(spark, path) < key_index.BUCKET_BYTES
     assert len(files.partition_numbers(spark, f"{path}/_keys/added=0", "bucket")) == 7
+
+
+def test_keys_beyond_the_bound_are_never_broadcast(spark, tmp_path, history, monkeypatch):
+    """Whatever size Spark takes their files for."""
+    path = f"{tmp_path}/t"
+    upsert.create_table(spark, path, history)
+    monkeypatch.setattr(upsert, "BROADCAST_KEY_BYTES", 100)
+    plans = []
+
+    def noted(real):
+        def run(*args, **options):
+            found = real(*args, **options)
+            plans.append(found._jdf.queryExecution().executedPlan().toString())
+            return found
+
+        return run
+
+    monkeypatch.setattr(key_index, "lookup", noted(key_index.lookup))
+    monkeypatch.setattr(upsert, "without_keys", noted(upsert.without_keys))
+    batch = changed(history, "value % 2 = 0")
+    upsert.merge_into(spark, path, batch)
+    assert len(plans) == 2
+    assert all("SortMergeJoin" in plan and "BroadcastHashJoin" not in plan for plan in plans)
+    wanted = upsert.upsert(history, batch)
+    got = upsert.read_stored(spark, path)
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+
+def test_stored_keys_are_searched_for_repeated_ones_only(spark, tmp_path, history, monkeypatch):
+    """A batch without repeated keys needs no join for that; one with them is still refused."""
+    path = f"{tmp_path}/t"
+    upsert.create_table(spark, path, history)
+    twice = changed(history, "value = 3")
+    with pytest.raises(upsert.DuplicateKeyError):
+        upsert.merge_into(spark, path, twice.unionByName(twice), on_duplicate="fail_matched")
+    real, searched = upsert.near_dates, []
+    counted = upsert.duplicate_keys
+
+    class Searched:
+        """Rows that may be joined with keys, but not asked for their own."""
+
+        def __init__(self, rows):
+            self.rows = rows
+
+        def select(self, *columns):
+            searched.append(columns)
+            return self.rows.select(*columns)
+
+    monkeypatch.setattr(upsert, "near_dates", lambda *args: Searched(real(*args)))
+    upsert.merge_into(spark, path, twice, on_duplicate="fail_matched", search_days=1)
+    assert searched == [("reading_id", "reading_date")]
+    assert counted(upsert.read_stored(spark, path), "reading_id").isEmpty()
