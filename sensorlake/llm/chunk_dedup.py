@@ -81,7 +81,8 @@ def cuts(data: bytes) -> list[int]:
         nonlocal last
         while until - last > MOST:
             last += MOST
-            while data[last] & 0xC0 == 0x80:
+            # A last character of several bytes may reach to the end of the text.
+            while last < size and data[last] & 0xC0 == 0x80:
                 last += 1
             out.append(last)
         return last

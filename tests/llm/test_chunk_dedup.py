@@ -123,3 +123,32 @@ def test_rows_that_repeat_an_id_and_text(spark):
     rows = [(i, f"{word()} {shared} {word()}") for i in range(30)]
     rows += [(5, rows[5][1])] * 30 + [(None, rows[7][1])] * 30
     compare(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+
+
+def ends_with_more_behind(data):
+    """The ends within a text that a blank follows, which no rule moves beyond it."""
+    return sorted({e for e in plain_cuts(data + b" ") if e <= len(data)} | {len(data)})
+
+
+def test_a_wide_last_character_across_the_longest_chunk(spark):
+    """Without a boundary a chunk ends behind the character that crosses ``MOST``, be it the last."""
+    texts = ["東" * n for n in range(340, 345)]
+    texts += ["x" * n + wide for n in [*range(1_018, 1_030), 2_047] for wide in "é東🙂"]
+    word = "itau ükeitau ü" * 200
+    texts += [word[: i + 1] for i, letter in enumerate(word) if letter == "ü"]
+    across = set()
+    for text in texts:
+        data = text.encode()
+        ends = chunk_dedup.cuts(data)
+        assert ends == ends_with_more_behind(data)
+        across.add(ends[-1] - [0, *ends][-2] - chunk_dedup.MOST)
+    assert {1, 2, 3} <= across and max(across) == 3
+
+    odd = ["東" * 342, "x" * 1_023 + "é", "x" * 1_023 + "🙂", "y" * 2_047 + "é"]
+    docs = spark.createDataFrame(list(enumerate(odd + odd)), "doc_id long, text string").repartition(3)
+    for lone_tails in (True, False):
+        got = {r.doc_id: r for r in chunk_dedup.without_repeats(docs, lone_tails=lone_tails).collect()}
+        for i, text in enumerate(odd):
+            size, n = len(text.encode()), 2 if i == 3 else 1
+            assert got[i][1:] == (size, n, 0, 0, [], text)
+            assert got[i + 4][1:] == (size, n, n, size, [i], "")
